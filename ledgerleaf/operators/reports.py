@@ -189,10 +189,11 @@ def pending_landing(landing: DataFrame, processed: DataFrame) -> DataFrame:
     return counted.withColumn("has_data", F.col("pending_rows") > 0)
 
 
-def pipe_state(status_json: DataFrame, column: str = "value") -> DataFrame:
+def pipe_state(status_json: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Run state and backlog out of a pipe status document."""
     body = F.col(column)
     return status_json.select(
+        *keep,
         F.coalesce(F.get_json_object(body, "$.executionState"), F.lit("UNKNOWN")).alias("pipe_state"),
         F.coalesce(F.get_json_object(body, "$.pendingFileCount").try_cast("bigint"), F.lit(0)).alias(
             "pipe_pending_files"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-_MODULES = ("intake", "texts", "searching")
+_MODULES = ("searching", "intake", "texts", "lifecycle", "monitoring", "custody")
 
 
 def load() -> ModuleType:

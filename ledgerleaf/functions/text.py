@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ast
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,9 +16,12 @@ LINE_ENDS = r"\r\x0b\f\x1c\x1d\x1e\u0085\u2028\u2029"
 # Blanks that Python's ``strip`` removes inside a line.
 LINE_BLANKS = r"\t\x1f \u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
 
+_JS_SPACE_CHARS = re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), ast.literal_eval(f'"{JS_SPACE}"'))
+
 
 def js_trim(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{JS_SPACE}]+|[{JS_SPACE}]+$", "")
+    """Trims by character set, which looks at the ends of the text only."""
+    return F.trim(text, F.lit(_JS_SPACE_CHARS))
 
 
 def clean_text(raw: Column) -> Column:

@@ -9,6 +9,7 @@ from ledgerleaf.functions import lookups
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.times import ts_literal
 from ledgerleaf.operators import embed, models, similarity
+from ledgerleaf.session import materialise
 
 EXCERPT_CHARS = 800
 REASON_CHARS = 500
@@ -117,13 +118,16 @@ def client_search(
     """One row per query with the twelve result columns, plus ``query_id``, ``query`` and ``error``.
 
     ``queries`` holds (query_id, query, client_account_id). A query without any candidate gets ``error`` and nulls.
-    ``execution_ms`` is what the caller measured, if anything.
+    ``execution_ms`` is what the caller measured, if anything. The candidates and the choices, a few rows per query,
+    are written to the shared folder as they become known: the chunk table is searched once, and the joins that fetch
+    text and metadata see exact sizes and can leave the big tables where they are.
     """
     reranker = reranker or models.overlap_reranker()
     if "model_name" in chunks.columns:
         chunks = chunks.where(F.col("model_name") == embedder.name)
     asked = embed.embed(queries, "query", embedder, into="query_embedding")
-    top = similarity.batch_top_k(similarity.searchable(chunks, registry), asked, embedder.width, k)
+    found = similarity.searchable(chunks, registry)
+    top = materialise(similarity.batch_top_k(found, asked, embedder.width, k, population=chunks), "search-candidates")
     lists = candidate_lists(top, chunks)
     listed = queries.select("query_id", "query", "client_account_id").join(lists, "query_id", "left")
 
@@ -150,6 +154,7 @@ def client_search(
             F.when(failed, F.format_string(UNAVAILABLE, "model_error")).otherwise(F.col("parsed.reason")),
         ).alias("reason"),
     )
+    chosen = materialise(chosen, "search-choices")
     # The big tables are cut down to the winners before the outer joins, so those stay small.
     winners = chosen.select("file_id").where(F.col("file_id").isNotNull()).distinct()
     documents = registry.join(winners, "file_id").select(

@@ -77,11 +77,13 @@ def batch_top_k(
     keys: Sequence[str] = CHUNK_KEYS,
     chunks_per_block: int = CHUNKS_PER_BLOCK,
     queries_per_block: int = QUERIES_PER_BLOCK,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, tenant, *keys, score, rank): the k best chunks per query within the query's tenant.
 
     ``queries`` holds (query_id, tenant, query_embedding). Chunks of another width belong to another model and are
-    left out; a query of another width is refused.
+    left out; a query of another width is refused. Block counts come from ``population`` (the chunk table before any
+    filter, say), of which only the tenant column is read; any table with at least as many rows will do.
     """
     keys = list(keys)
     usable = chunks.where(F.col("embedding").isNotNull() & (F.size("embedding") == width)).select(
@@ -94,7 +96,8 @@ def batch_top_k(
         .otherwise(F.raise_error(F.lit(f"query vector is not {width} wide")))
         .alias("query_embedding"),
     )
-    grid = _blocks(usable, tenant, chunks_per_block, "__c").join(
+    sized = chunks if population is None else population
+    grid = _blocks(sized, tenant, chunks_per_block, "__c").join(
         _blocks(queries, tenant, queries_per_block, "__q"), tenant
     )
     left = usable.join(grid, tenant).select(

@@ -398,7 +398,7 @@ _CTE = {
     ELSE 'incoming/src' || user_id % 20 || '/doc_' || event_id || '.csv' END AS object_key
   FROM events)""",
     "trades": """trades AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)) AS quantity,
+  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)) AS quantity,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS gross, CAST(round(l_discount * 100) AS DECIMAL(18,2)) AS rate_pct,
     CAST(l_shipdate AS DATE) AS trade_date, l_returnflag,
     CASE WHEN l_linenumber % 2 = 1 THEN 'BUY' ELSE 'SELL' END AS side

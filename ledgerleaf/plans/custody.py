@@ -52,7 +52,7 @@ def settlement_dates(t: Tables) -> DataFrame:
 
 
 _SURCHARGE = f"""CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_linenumber * 25 AS {_D})
-  ELSE {_cents("gross * rate_pct / 100")} END"""
+  ELSE {_cents("gross * rate_pct * 0.01")} END"""
 
 
 def _surcharge(t: Tables):
@@ -68,7 +68,7 @@ def surcharges(t: Tables) -> DataFrame:
     return t.trades.select(*_KEYS, _surcharge(t).alias("surcharge"))
 
 
-_WITHHELD = _cents("gross * rate_pct / 100")
+_WITHHELD = _cents("gross * rate_pct * 0.01")
 
 
 @query(
@@ -93,7 +93,7 @@ def income(t: Tables) -> DataFrame:
         "trades",
         also=f"""positions AS (
   SELECT {_K}, CAST(l_suppkey % 50 AS BIGINT) AS portfolio, {_cents(
-      "CASE WHEN l_returnflag = 'R' THEN quantity * gross / 100 ELSE quantity * gross END")} AS value FROM trades),
+      "CASE WHEN l_returnflag = 'R' THEN quantity * gross * 0.01 ELSE quantity * gross END")} AS value FROM trades),
 totals AS (SELECT portfolio, sum(value) AS nav FROM positions GROUP BY portfolio)""",
     )
     + f"""SELECT {_K}, portfolio, CAST(value AS DOUBLE) AS value, CAST(nav AS DOUBLE) AS nav,
@@ -109,8 +109,8 @@ def valuation_share(t: Tables) -> DataFrame:
     return measures.valuation(positions, "portfolio", "value")
 
 
-_RECLAIM = _cents("gross * greatest(CAST(0 AS DECIMAL(18,2)), rate_pct * 4 - 15) / 100")
-_HELD4 = _cents("gross * rate_pct * 4 / 100")
+_RECLAIM = _cents("gross * greatest(CAST(0 AS DECIMAL(18,2)), rate_pct * 4 - 15) * 0.01")
+_HELD4 = _cents("gross * rate_pct * 4 * 0.01")
 
 
 @query(
@@ -178,8 +178,8 @@ def capital_gains(t: Tables) -> DataFrame:
 
 @query(
     "amount_text",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
-  CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_discount * 100 END AS rate_pct FROM lineitem""",
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+  CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE round(l_discount * 100, 4) END AS rate_pct FROM lineitem""",
 )
 def amount_text(t: Tables) -> DataFrame:
     """Numbers written with signs and separators and read back."""

@@ -11,6 +11,7 @@ from ledgerleaf.operators import chunk, embed, models, search, similarity, views
 from ledgerleaf.plans.adapters import Tables, ts_text, with_tables
 from ledgerleaf.plans.catalog import query
 from ledgerleaf.plans.texts import sql_chunks, sql_vectors
+from ledgerleaf.session import materialise
 
 CLIENT = "CLIENT_1"
 # A fixed query vector of the embeddings' width.
@@ -95,7 +96,8 @@ chosen AS (
 def _corpus(t: Tables) -> DataFrame:
     rows = chunk.chunk(t.docs.select("file_id", F.col("client").alias("client_account_id"), F.col("text").alias("extracted_text")))
     model = models.hashing_embedder(EMBED_WIDTH)
-    return embed.embed(rows, "chunk_text", model).withColumn("model_name", F.lit(model.name))
+    embedded = embed.embed(rows, "chunk_text", model).withColumn("model_name", F.lit(model.name))
+    return materialise(embedded, "search-corpus")
 
 
 def _asked(t: Tables) -> DataFrame:

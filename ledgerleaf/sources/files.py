@@ -47,17 +47,20 @@ def fingerprint(files: DataFrame, root: str) -> DataFrame:
     )
 
 
-def landing_rows(files: DataFrame, root: str, as_of: Column) -> DataFrame:
-    """Landing listing: one row per file with its true length; the bytes are never read."""
+def landing_rows(files: DataFrame, root: str, as_of: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landing listing: one row per file with its true length; the bytes are read only if kept."""
     return files.select(
         relative_path(F.col("path"), root).alias("relative_path"),
         F.col("length").alias("file_size"),
         F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"),
         as_of.cast("timestamp_ntz").alias("loaded_ts"),
+        *keep,
     )
 
 
-def landing_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def landing_stream(
+    spark: SparkSession, directory: str, max_files_per_trigger: int | None = None, content: bool = False
+) -> DataFrame:
     """The same listing as an append-only stream: each new file appears once per checkpoint."""
     reader = (
         spark.readStream.format("binaryFile")
@@ -67,7 +70,8 @@ def landing_stream(spark: SparkSession, directory: str, max_files_per_trigger: i
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return landing_rows(reader.load(directory), directory, F.current_timestamp())
+    keep = ("content",) if content else ()
+    return landing_rows(reader.load(directory), directory, F.current_timestamp(), keep)
 
 
 def start_landing(stream: DataFrame, out: str, checkpoint: str, once: bool = True) -> DataStreamWriter:

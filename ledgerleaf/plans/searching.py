@@ -88,7 +88,8 @@ candidates AS (
   FROM ranked r JOIN chunk_rows c USING (file_id, chunk_index) JOIN words w USING (item_id) WHERE rank <= 5),
 chosen AS (
   SELECT item_id, arg_max(file_id, shared * 10 - rank) AS file_id, max(shared) AS shared, any_value(n) AS n,
-    count(*) AS result_count, string_agg(CAST(CAST(round(score, 4) AS DOUBLE) AS VARCHAR), ',' ORDER BY rank) AS top_scores
+    count(*) AS result_count,
+    list(CAST(round(CAST(score AS DECIMAL(10,6)), 4) AS DOUBLE) ORDER BY rank) AS top_scores
   FROM candidates GROUP BY item_id)
 """
 
@@ -144,7 +145,19 @@ def search_audit_rows(t: Tables) -> DataFrame:
     return rows.drop("execution_time_ms", "search_ts")
 
 
-@query("search_result_json")
+@query(
+    "search_result_json",
+    _SEARCH
+    + f"""SELECT a.item_id AS query_id, CASE WHEN ch.item_id IS NULL
+    THEN to_json({{'error': '{search.NO_DOCUMENTS}', 'file_id': NULL, 'query': a.query}})::VARCHAR
+  ELSE to_json({{'file_id': ch.file_id, 'file_name': d.file_name, 'file_format': d.file_format, 'document_type': NULL,
+    'client_account_id': a.client, 'confidence': CASE WHEN shared * 2 >= ch.n THEN 'high' WHEN shared > 0 THEN 'medium'
+    ELSE 'low' END, 'reason': 'shares ' || shared || ' query words', 'summary': cl.doc_summary,
+    'stage_path': 'validated/' || d.account_id || '/' || d.file_name, 'result_count': result_count,
+    'top_scores': top_scores, 'execution_ms': NULL}})::VARCHAR END AS result
+FROM asked a LEFT JOIN chosen ch USING (item_id) LEFT JOIN docs d ON ch.file_id = d.file_id
+LEFT JOIN classifications cl ON ch.file_id = cl.file_id""",
+)
 def search_result_json(t: Tables) -> DataFrame:
     return search.result_json(_results(t))
 

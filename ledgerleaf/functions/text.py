@@ -16,7 +16,15 @@ LINE_ENDS = r"\r\x0b\f\x1c\x1d\x1e\u0085\u2028\u2029"
 # Blanks that Python's ``strip`` removes inside a line.
 LINE_BLANKS = r"\t\x1f \u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
 
-_JS_SPACE_CHARS = re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), ast.literal_eval(f'"{JS_SPACE}"'))
+
+def _members(character_class: str) -> str:
+    """The characters of a class, ranges written out."""
+    plain = ast.literal_eval(f'"{character_class}"')
+    return re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), plain)
+
+
+_JS_SPACE_CHARS = _members(JS_SPACE)
+_LINE_BLANK_CHARS = _members(LINE_BLANKS)
 
 
 def js_trim(text: Column) -> Column:
@@ -25,12 +33,17 @@ def js_trim(text: Column) -> Column:
 
 
 def clean_text(raw: Column) -> Column:
-    """Collapse blanks inside lines, trim every line, keep at most one blank line in a row."""
-    text = F.regexp_replace(raw, f"\r\n|[{LINE_ENDS}]", "\n")
-    text = F.regexp_replace(text, "[ \t]+", " ")
-    text = F.regexp_replace(text, f"(?m)^[{LINE_BLANKS}]+|[{LINE_BLANKS}]+$", "")
-    text = F.regexp_replace(text, "\n{3,}", "\n\n")
-    return F.regexp_replace(text, "^\n+|\n+$", "")
+    """Collapse blanks inside lines, trim every line, keep at most one blank line in a row.
+
+    Plain replacements and per-line trims, with regular expressions only on a fixed leading character: several times
+    faster than character classes tried at every position.
+    """
+    text = F.replace(raw, F.lit("\r\n"), F.lit("\n"))
+    for line_end in _members(LINE_ENDS):
+        text = F.replace(text, F.lit(line_end), F.lit("\n"))
+    text = F.regexp_replace(F.replace(text, F.lit("\t"), F.lit(" ")), " {2,}", " ")
+    lines = F.transform(F.split(text, "\n"), lambda line: F.trim(line, F.lit(_LINE_BLANK_CHARS)))
+    return F.trim(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"), F.lit("\n"))
 
 
 def truncate(text: Column, n: int) -> Column:

@@ -29,47 +29,56 @@ def prompt(file_name: Column, excerpt: Column) -> Column:
     return F.concat(F.lit(head), file_name, F.lit("\nExcerpt:\n"), excerpt, F.lit(tail))
 
 
-def parse_reply(reply: Column) -> Column:
-    """Struct (document_type, confidence, key_indicators, summary) from a model reply.
+REPLY_FIELDS = ("document_type", "confidence", "key_indicators", "summary")
 
-    Empty or missing fields take defaults (UNKNOWN, low, [], ''). A reply that is no JSON, or whose type or summary
-    is no text, gives UNKNOWN / low and a summary that starts with ``Parse error:``.
-    """
-    body = F.try_parse_json(tx.strip_fences(reply))
 
-    def field(name: str) -> Column:
-        return F.try_variant_get(body, f"$.{name}", "variant")
+def with_parsed_reply(df: DataFrame, reply: str) -> DataFrame:
+    """Adds document_type, classification_confidence, key_indicators and doc_summary from a model reply.
 
-    def kind(name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(field(name)), F.lit("VOID"))
+    Empty or missing fields take defaults (UNKNOWN, low, [], ''). A reply that is no JSON, or whose type or summary
+    is no text, gives UNKNOWN / low and a summary that starts with ``Parse error:``. The reply is parsed once: every
+    later step only looks at columns of the one before.
+    """
+    body = df.withColumn("__body", F.try_parse_json(tx.strip_fences(F.col(reply))))
+    picked = body.withColumns({f"__{n}": F.try_variant_get("__body", f"$.{n}", "variant") for n in REPLY_FIELDS})
+    typed = picked.withColumns(
+        {
+            **{f"__{n}_kind": F.coalesce(F.schema_of_variant(f"__{n}"), F.lit("VOID")) for n in REPLY_FIELDS},
+            **{f"__{n}_text": F.try_variant_get(f"__{n}", "$", "string") for n in REPLY_FIELDS},
+        }
+    )
 
-    def as_text(name: str) -> Column:
-        return F.try_variant_get(body, f"$.{name}", "string")
+    def text(name: str) -> Column:
+        return F.col(f"__{name}_text")
 
     def falsy(name: str) -> Column:
-        return (kind(name) == "VOID") | F.coalesce(as_text(name), F.lit("x")).isin("", "0", "false")
+        return (F.col(f"__{name}_kind") == "VOID") | F.coalesce(text(name), F.lit("x")).isin("", "0", "false")
 
-    broken = (
-        body.isNull()
-        | (F.schema_of_variant(body) == "VOID")
-        | (~falsy("document_type") & (kind("document_type") != "STRING"))
-        | (~falsy("summary") & (kind("summary") != "STRING"))
-    )
-    error = F.when(body.isNull(), F.lit("Parse error: reply is not valid JSON")).otherwise(
+    def no_text(name: str) -> Column:
+        return ~falsy(name) & (F.col(f"__{name}_kind") != "STRING")
+
+    no_json = F.col("__body").isNull()
+    broken = no_json | F.is_variant_null("__body") | no_text("document_type") | no_text("summary")
+    message = F.when(no_json, F.lit("Parse error: reply is not valid JSON")).otherwise(
         F.lit("Parse error: unexpected JSON shape")
     )
-    return F.struct(
-        F.when(broken | falsy("document_type"), F.lit("UNKNOWN"))
-        .otherwise(lookups.controlled_type(as_text("document_type")))
-        .alias("document_type"),
-        F.when(broken | falsy("confidence"), F.lit("low")).otherwise(as_text("confidence")).alias("confidence"),
-        F.when(broken | falsy("key_indicators"), F.lit("[]"))
-        .otherwise(F.to_json(field("key_indicators")))
-        .alias("key_indicators"),
-        F.when(broken, error)
-        .when(falsy("summary"), F.lit(""))
-        .otherwise(tx.truncate(as_text("summary"), SUMMARY_CHARS))
-        .alias("summary"),
+    checked = typed.withColumn("__broken", broken)
+    bad = F.col("__broken")
+    return checked.withColumns(
+        {
+            "document_type": F.when(bad | falsy("document_type"), F.lit("UNKNOWN")).otherwise(
+                lookups.controlled_type(text("document_type"))
+            ),
+            "classification_confidence": F.when(bad | falsy("confidence"), F.lit("low")).otherwise(text("confidence")),
+            "key_indicators": F.when(bad | falsy("key_indicators"), F.lit("[]")).otherwise(
+                F.to_json("__key_indicators")
+            ),
+            "doc_summary": F.when(bad, message)
+            .when(falsy("summary"), F.lit(""))
+            .otherwise(tx.truncate(text("summary"), SUMMARY_CHARS)),
+        }
+    ).select(
+        *df.columns, "document_type", "classification_confidence", "key_indicators", "doc_summary"
     )
 
 
@@ -92,18 +101,16 @@ def classify(todo: DataFrame, model: models.CompletionModel | None = None) -> Da
     )
     answered = asked.withColumn("__raw", model.complete(F.col("prompt"), F.struct("file_name", "excerpt")))
     reply = models.as_reply(F.col("__raw"), answered.schema["__raw"].dataType)
-    return (
-        answered.select("file_id", reply["reply"].alias("reply"), reply["error"].alias("error"))
-        .withColumn("parsed", parse_reply(F.coalesce("reply", F.lit(""))))
-        .select(
-            "file_id",
-            F.col("parsed.document_type"),
-            F.col("parsed.confidence").alias("classification_confidence"),
-            "parsed.key_indicators",
-            F.col("parsed.summary").alias("doc_summary"),
-            F.lit(model.name).alias("model_name"),
-            "error",
-        )
+    replies = answered.select("file_id", F.coalesce(reply["reply"], F.lit("")).alias("reply"), reply["error"].alias("error"))
+    parsed = with_parsed_reply(replies, "reply").withColumn("model_name", F.lit(model.name))
+    return parsed.select(
+        "file_id",
+        "document_type",
+        "classification_confidence",
+        "key_indicators",
+        "doc_summary",
+        "model_name",
+        "error",
     )
 
 

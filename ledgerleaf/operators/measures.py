@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,6 +184,11 @@ def reconcile_income(rows: DataFrame) -> DataFrame:
 
 
 def _flag(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Keeps rows with at least one failed check and names the failed ones."""
-    failed = F.concat_ws(",", *[F.when(off, F.lit(name)) for name, off in checks.items()])
-    return df.withColumn("failed_checks", failed).where(F.col("failed_checks") != "")
+    """Keeps rows with at least one failed check and names the failed ones.
+
+    The checks are settled as flags first, so filter and names share one evaluation.
+    """
+    flags = {f"__{name}": off for name, off in checks.items()}
+    flagged = df.withColumns(flags).where(reduce(or_, [F.col(c) for c in flags]))
+    failed = F.concat_ws(",", *[F.when(F.col(f"__{name}"), F.lit(name)) for name in checks])
+    return flagged.withColumn("failed_checks", failed).drop(*flags)

@@ -10,7 +10,6 @@ import hashlib
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -68,9 +67,7 @@ def as_reply(result: Column, dtype) -> Column:
     return result
 
 
-@lru_cache(maxsize=1 << 18)
-def _bucket(token: str, width: int) -> int:
-    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % width
+TOKEN_CACHE = 1 << 18
 
 
 def hashing_embedder(width: int = 1024) -> EmbeddingModel:
@@ -78,9 +75,18 @@ def hashing_embedder(width: int = 1024) -> EmbeddingModel:
 
     @F.arrow_udf("array<float>")
     def encode(texts: pa.Array) -> pa.Array:
+        tokens_of = re.compile(WORD).findall
+        known: dict[str, int] = {}
+
+        def bucket(token: str) -> int:
+            if len(known) >= TOKEN_CACHE:
+                known.clear()
+            found = known[token] = int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % width
+            return found
+
         rows = np.zeros((len(texts), width), dtype=np.float64)
         for row, text in zip(rows, texts.to_pylist()):
-            buckets = [_bucket(t, width) for t in re.findall(WORD, (text or "").lower())]
+            buckets = [known[t] if t in known else bucket(t) for t in tokens_of((text or "").lower())]
             if buckets:
                 row += np.bincount(buckets, minlength=width)
         norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
@@ -104,10 +110,9 @@ def keyword_classifier() -> CompletionModel:
         scored = F.array(
             *[
                 F.struct(
-                    F.filter(
-                        F.array(*[F.lit(k) for k in keywords]).cast("array<string>"),
-                        lambda k: F.contains(haystack, k),
-                    ).alias("hits"),
+                    F.array_compact(
+                        F.array(*[F.when(F.contains(haystack, F.lit(k)), F.lit(k)) for k in keywords])
+                    ).cast("array<string>").alias("hits"),
                     F.lit(name).alias("type"),
                     F.lit(description).alias("description"),
                 )

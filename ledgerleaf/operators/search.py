@@ -43,50 +43,51 @@ def rerank_prompt(query: Column, candidates: Column) -> Column:
     return F.concat(F.lit('Query: "'), query, F.lit('"\n\n'), listed, F.lit(f"\n\n{ask}"))
 
 
-def parse_rerank(reply: Column, count: Column) -> Column:
-    """Struct (index, confidence, reason, fallback) from a re-rank reply; index is 0-based.
+RERANK_FIELDS = ("best_candidate_index", "confidence", "reason")
 
-    The index is clamped; a missing one means the first candidate. Whole-number text and fractions (cut off) are
-    accepted. Anything else, and replies that are no JSON object, fall back to candidate 0 with confidence low.
-    """
-    body = F.try_parse_json(tx.strip_fences(reply, ignore_case=False))
-
-    def field(name: str) -> Column:
-        return F.try_variant_get(body, f"$.{name}", "variant")
 
-    def as_text(name: str) -> Column:
-        return F.try_variant_get(body, f"$.{name}", "string")
+def with_parsed_rerank(df: DataFrame, reply: str, count: str) -> DataFrame:
+    """Adds choice (0-based), confidence, reason and fallback from a re-rank reply; ``count`` is the list length.
 
-    kind = F.schema_of_variant(field("best_candidate_index"))
-    raw = as_text("best_candidate_index")
+    The choice is clamped; a missing one means the first candidate. Whole-number text and fractions (cut off) are
+    accepted. Anything else, and replies that are no JSON object, fall back to candidate 0 with confidence low. The
+    reply is parsed once: every later step only looks at columns of the one before.
+    """
+    body = df.withColumn("__body", F.try_parse_json(tx.strip_fences(F.col(reply), ignore_case=False)))
+    picked = body.withColumns({f"__{n}": F.try_variant_get("__body", f"$.{n}", "variant") for n in RERANK_FIELDS})
+    typed = picked.withColumns(
+        {
+            "__shape": F.schema_of_variant("__body"),
+            **{f"__{n}_kind": F.schema_of_variant(f"__{n}") for n in RERANK_FIELDS},
+            **{f"__{n}_text": F.try_variant_get(f"__{n}", "$", "string") for n in RERANK_FIELDS},
+        }
+    )
+    kind, raw = F.col("__best_candidate_index_kind"), F.col("__best_candidate_index_text")
     number = (
         F.when(kind.isNull(), F.lit(1.0))
         .when((kind == "STRING") & F.rlike(raw, F.lit(r"^\s*[+-]?\d+\s*$")), F.trim(raw).try_cast("double"))
         .when(kind == "BOOLEAN", (raw == "true").cast("double"))
         .when(kind.isin("BIGINT", "DOUBLE") | F.startswith(kind, F.lit("DECIMAL")), raw.try_cast("double"))
     )
-    is_object = F.startswith(F.schema_of_variant(body), F.lit("OBJECT"))
-    fallback = ~F.coalesce(is_object, F.lit(False)) | number.isNull()
-    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("double")
-    clamped = lookups.clamp_index(whole, count.cast("double"))
-
-    def shown(name: str, default: str) -> Column:
-        """Text of a field; ``default`` when the key is missing, ``None`` when it holds null."""
-        kind_of = F.schema_of_variant(field(name))
-        return F.when(kind_of.isNull(), F.lit(default)).when(kind_of == "VOID", F.lit("None")).otherwise(as_text(name))
-
-    confidence_kind = F.schema_of_variant(field("confidence"))
-    return F.struct(
-        F.when(fallback, F.lit(0)).otherwise(clamped).alias("index"),
-        F.when(fallback, F.lit("low"))
-        .when(confidence_kind.isNull(), F.lit("medium"))
-        .otherwise(as_text("confidence"))
-        .alias("confidence"),
-        F.when(fallback, F.lit(PARSE_FAILED))
-        .otherwise(tx.truncate(shown("reason", ""), REASON_CHARS))
-        .alias("reason"),
-        fallback.alias("fallback"),
+    numbered = typed.withColumn(
+        "__number", F.when(F.startswith("__shape", F.lit("OBJECT")), number)
+    ).withColumn("fallback", F.col("__number").isNull())
+    fallback, n = F.col("fallback"), F.col("__number")
+    whole = F.when(n < 0, F.ceil(n)).otherwise(F.floor(n)).cast("double")
+    reason = (
+        F.when(F.col("__reason_kind").isNull(), F.lit(""))
+        .when(F.col("__reason_kind") == "VOID", F.lit("None"))
+        .otherwise(F.col("__reason_text"))
     )
+    return numbered.withColumns(
+        {
+            "choice": F.when(fallback, F.lit(0)).otherwise(lookups.clamp_index(whole, F.col(count).cast("double"))),
+            "confidence": F.when(fallback, F.lit("low"))
+            .when(F.col("__confidence_kind").isNull(), F.lit("medium"))
+            .otherwise(F.col("__confidence_text")),
+            "reason": F.when(fallback, F.lit(PARSE_FAILED)).otherwise(tx.truncate(reason, REASON_CHARS)),
+        }
+    ).select(*df.columns, "choice", "confidence", "reason", "fallback")
 
 
 def candidate_lists(top: DataFrame, chunks: DataFrame, query_id: str = "query_id") -> DataFrame:
@@ -136,23 +137,26 @@ def client_search(
         "prompt", F.when(has_any, rerank_prompt(F.col("query"), F.col("candidates")))
     ).withColumn("__raw", reranker.complete(F.col("prompt"), F.struct("query", "candidates")))
     reply = models.as_reply(F.col("__raw"), prompted.schema["__raw"].dataType)
-    parsed = prompted.withColumn("model_error", reply["error"]).withColumn(
-        "parsed", parse_rerank(F.coalesce(reply["reply"], F.lit("")), F.size("candidates"))
+    replied = prompted.select(
+        "query_id",
+        "query",
+        "client_account_id",
+        "candidates",
+        F.size("candidates").alias("n"),
+        F.coalesce(reply["reply"], F.lit("")).alias("reply"),
+        reply["error"].alias("model_error"),
     )
     failed = F.col("model_error").isNotNull()
-    chosen = parsed.select(
+    choice = F.when(failed, F.lit(0)).otherwise(F.col("choice"))
+    unavailable = F.format_string(UNAVAILABLE, "model_error")
+    chosen = with_parsed_rerank(replied, "reply", "n").select(
         "query_id",
         "query",
         "client_account_id",
         "candidates",
-        F.when(
-            has_any, F.get("candidates", F.when(failed, F.lit(0)).otherwise(F.col("parsed.index")))["file_id"]
-        ).alias("file_id"),
-        F.when(has_any, F.when(failed, F.lit("low")).otherwise(F.col("parsed.confidence"))).alias("confidence"),
-        F.when(
-            has_any,
-            F.when(failed, F.format_string(UNAVAILABLE, "model_error")).otherwise(F.col("parsed.reason")),
-        ).alias("reason"),
+        F.when(has_any, F.get("candidates", choice)["file_id"]).alias("file_id"),
+        F.when(has_any, F.when(failed, F.lit("low")).otherwise(F.col("confidence"))).alias("confidence"),
+        F.when(has_any, F.when(failed, unavailable).otherwise(F.col("reason"))).alias("reason"),
     )
     chosen = materialise(chosen, "search-choices")
     # The big tables are cut down to the winners before the outer joins, so those stay small.

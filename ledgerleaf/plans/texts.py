@@ -288,7 +288,7 @@ _RERANK_REPLIES = (
     "parse_rerank",
     f"""WITH replies AS (
   SELECT event_id, event_id % {len(_RERANK_REPLIES)} AS shape, repeat(event_type, 120) AS r FROM events)
-SELECT event_id, CAST(CASE shape WHEN 0 THEN 1 WHEN 2 THEN 4 WHEN 3 THEN 2 WHEN 4 THEN 1 ELSE 0 END AS BIGINT) AS index,
+SELECT event_id, CAST(CASE shape WHEN 0 THEN 1 WHEN 2 THEN 4 WHEN 3 THEN 2 WHEN 4 THEN 1 ELSE 0 END AS BIGINT) AS choice,
   CASE WHEN shape IN (0, 4, 8) THEN 'high' WHEN shape IN (2, 3, 7) THEN 'medium' ELSE 'low' END AS confidence,
   CASE WHEN shape IN (5, 6, 9) THEN '{search.PARSE_FAILED}' WHEN shape = 3 THEN '' ELSE substr(r, 1, 500) END AS reason,
   shape IN (5, 6, 9) AS fallback
@@ -296,8 +296,8 @@ FROM replies""",
 )
 def parse_rerank(t: Tables) -> DataFrame:
     reply = F.replace(pick(_RERANK_REPLIES, F.col("event_id")), F.lit("R"), F.repeat("event_type", F.lit(120)))
-    parsed = t.raw("events").select("event_id", search.parse_rerank(reply, F.lit(5)).alias("p"))
-    return parsed.select("event_id", "p.index", "p.confidence", "p.reason", "p.fallback")
+    replies = t.raw("events").select("event_id", reply.alias("reply"), F.lit(5).alias("n"))
+    return search.with_parsed_rerank(replies, "reply", "n").drop("reply", "n")
 
 
 _CLASS_REPLIES = (
@@ -317,16 +317,16 @@ _CLASS_REPLIES = (
     f"""WITH replies AS (
   SELECT event_id, event_id % {len(_CLASS_REPLIES)} AS shape, repeat(event_type, 500) AS s, event_type AS k FROM events)
 SELECT event_id, CASE shape WHEN 0 THEN 'TAX_PROFILE' WHEN 1 THEN 'INCOME_REPORT' ELSE 'UNKNOWN' END AS document_type,
-  CASE shape WHEN 0 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS confidence,
+  CASE shape WHEN 0 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS classification_confidence,
   CASE shape WHEN 0 THEN '["' || k || '","b"]' ELSE '[]' END AS key_indicators,
   CASE WHEN shape IN (0, 1, 3) THEN substr(s, 1, 2000) WHEN shape = 5 THEN 'Parse error: reply is not valid JSON'
-    WHEN shape IN (4, 6) THEN 'Parse error: unexpected JSON shape' ELSE '' END AS summary
+    WHEN shape IN (4, 6) THEN 'Parse error: unexpected JSON shape' ELSE '' END AS doc_summary
 FROM replies""",
 )
 def parse_classification(t: Tables) -> DataFrame:
     shape = pick(_CLASS_REPLIES, F.col("event_id"))
     reply = F.replace(shape, F.lit('"S"'), F.concat(F.lit('"'), F.repeat("event_type", F.lit(500)), F.lit('"')))
     reply = F.replace(reply, F.lit('"K"'), F.concat(F.lit('"'), "event_type", F.lit('"')))
-    parsed = t.raw("events").select("event_id", classify.parse_reply(reply).alias("p"))
-    return parsed.select("event_id", "p.document_type", "p.confidence", "p.key_indicators", "p.summary")
+    replies = t.raw("events").select("event_id", reply.alias("reply"))
+    return classify.with_parsed_reply(replies, "reply").drop("reply")
 

@@ -93,13 +93,16 @@ def pending(registry: DataFrame, texts: DataFrame, classifications: DataFrame) -
 def classify(todo: DataFrame, model: models.CompletionModel | None = None) -> DataFrame:
     """One row per document: type, confidence, indicators, summary, or an error from the model."""
     model = model or models.keyword_classifier()
+    excerpt = F.coalesce("excerpt", F.lit(""))
     asked = todo.select(
         "file_id",
         "file_name",
-        F.coalesce("excerpt", F.lit("")).alias("excerpt"),
-        prompt(F.col("file_name"), F.coalesce("excerpt", F.lit(""))).alias("prompt"),
+        excerpt.alias("excerpt"),
+        F.lower(F.concat_ws("\n", "file_name", excerpt)).alias("haystack"),
+        prompt(F.col("file_name"), excerpt).alias("prompt"),
     )
-    answered = asked.withColumn("__raw", model.complete(F.col("prompt"), F.struct("file_name", "excerpt")))
+    facts = F.struct("file_name", "excerpt", "haystack")
+    answered = asked.withColumn("__raw", model.complete(F.col("prompt"), facts))
     reply = models.as_reply(F.col("__raw"), answered.schema["__raw"].dataType)
     replies = answered.select("file_id", F.coalesce(reply["reply"], F.lit("")).alias("reply"), reply["error"].alias("error"))
     parsed = with_parsed_reply(replies, "reply").withColumn("model_name", F.lit(model.name))

@@ -61,7 +61,7 @@ def due_date(invoice_date: Column) -> Column:
 
 def surcharge(base: Column, rate_pct: Column, flat: Column) -> Column:
     """The flat amount when there is one, else base times percentage."""
-    return F.when(flat > 0, flat).otherwise(cents(base * rate_pct / 100)).cast(AMOUNT)
+    return F.when(flat > 0, flat).otherwise(cents(base * rate_pct * _dec("0.01"))).cast(AMOUNT)
 
 
 def income_net(gross: Column, withheld: Column) -> Column:
@@ -77,13 +77,13 @@ def capital_gain(proceeds: Column, basis: Column) -> Column:
 
 
 def withheld(gross: Column, rate_pct: Column) -> Column:
-    return cents(gross * rate_pct / 100)
+    return cents(gross * rate_pct * _dec("0.01"))
 
 
 def reclaimable(gross: Column, rate_pct: Column) -> Column:
     """What the source country kept beyond the treaty rate."""
     excess = F.greatest(F.lit(0).cast("decimal(18,6)"), rate_pct.cast("decimal(18,6)") - _dec(TREATY_RATE))
-    return cents(gross * excess / 100)
+    return cents(gross * excess * _dec("0.01"))
 
 
 def reclaim_totals(items: DataFrame, by: str, gross: str, rate_pct: str) -> DataFrame:
@@ -101,7 +101,7 @@ def reclaim_totals(items: DataFrame, by: str, gross: str, rate_pct: str) -> Data
 def market_value(asset_class: Column, units: Column, price: Column) -> Column:
     """Bonds are quoted per hundred of face value, everything else per unit."""
     value = units.cast(AMOUNT) * price.cast(AMOUNT)
-    return cents(F.when(asset_class == "BOND", value / 100).otherwise(value))
+    return cents(F.when(asset_class == "BOND", value * _dec("0.01")).otherwise(value))
 
 
 def valuation(positions: DataFrame, by: str, value: str) -> DataFrame:
@@ -168,7 +168,7 @@ def reconcile_trades(trades: DataFrame) -> DataFrame:
 
 def reconcile_surcharges(rows: DataFrame) -> DataFrame:
     """Percentage rows only; a flat surcharge has nothing to recompute."""
-    expected = cents(F.col("base_amount_usd") * F.col("rate_pct") / 100)
+    expected = cents(F.col("base_amount_usd") * F.col("rate_pct") * _dec("0.01"))
     off = F.col("rate_pct").isNotNull() & _off(F.col("surcharge_amount_usd"), expected)
     return _flag(rows, {"surcharge": off})
 

@@ -103,10 +103,13 @@ def words(text: Column) -> Column:
 
 
 def keyword_classifier() -> CompletionModel:
-    """Counts each type's keywords in file name and excerpt; most hits win, vocabulary order settles ties."""
+    """Counts each type's keywords in file name and excerpt; most hits win, vocabulary order settles ties.
+
+    Reads the facts ``file_name`` and ``haystack`` (name and excerpt in lower case).
+    """
 
     def complete(prompt: Column, facts: Column) -> Column:
-        haystack = F.lower(F.concat_ws("\n", facts["file_name"], facts["excerpt"]))
+        haystack = facts["haystack"]
         scored = F.array(
             *[
                 F.struct(

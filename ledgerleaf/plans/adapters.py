@@ -1,6 +1,7 @@
 """The driver's tables seen as the tables of :mod:`ledgerleaf.schemas`, in Spark and in SQL.
 
-Every adapter is a projection, filter or small aggregate of a driver table, so its size follows that table.
+Every adapter is a projection, filter or small aggregate of a driver table, so its size follows that table. Remainders
+of ids decide states, names and gaps, so that every branch of every job meets rows; no table is cut down for cost.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import paths
 from ledgerleaf.schemas import SUPPORTED_FORMATS, TASK_ORDER, TYPE_HINT_PREFIXES
+from ledgerleaf.session import spread
 
 NAME_STEMS = (*[prefix for prefix, _ in TYPE_HINT_PREFIXES], "misc")
 EXTENSIONS = ("pdf", "csv", "xlsx", "txt")
@@ -41,6 +43,14 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def heavy(self, name: str, key: str) -> DataFrame:
+        """A table as input of costly per-row work."""
+        return spread(self.raw(name), key)
+
+    @cached_property
+    def heavy_docs(self) -> DataFrame:
+        return spread(self.docs, "doc_id")
+
     @cached_property
     def docs(self) -> DataFrame:
         """Documents with the derived names every adapter shares."""

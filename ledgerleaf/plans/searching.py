@@ -95,7 +95,7 @@ chosen AS (
 
 
 def _corpus(t: Tables) -> DataFrame:
-    rows = chunk.chunk(t.docs.select("file_id", F.col("client").alias("client_account_id"), F.col("text").alias("extracted_text")))
+    rows = chunk.chunk(t.heavy_docs.select("file_id", F.col("client").alias("client_account_id"), F.col("text").alias("extracted_text")))
     model = models.hashing_embedder(EMBED_WIDTH)
     embedded = embed.embed(rows, "chunk_text", model).withColumn("model_name", F.lit(model.name))
     return materialise(embedded, "search-corpus")

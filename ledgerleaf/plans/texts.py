@@ -48,7 +48,7 @@ def _messy() -> Column:
 
 @query("clean_text", f"SELECT doc_id, {sql_clean(_MESSY_SQL)} AS clean FROM documents")
 def clean_text(t: Tables) -> DataFrame:
-    return t.raw("documents").select("doc_id", tx.clean_text(_messy()).alias("clean"))
+    return t.heavy("documents", "doc_id").select("doc_id", tx.clean_text(_messy()).alias("clean"))
 
 
 @query(
@@ -82,7 +82,7 @@ def extract_documents(t: Tables) -> DataFrame:
     cell = F.concat(F.lit('"'), F.replace(F.col("text"), F.lit('"'), F.lit('""')), F.lit('"'))
     data = F.concat(F.lit("id,body\r\n"), "file_id", F.lit(","), cell, F.lit("\r\n"))
     location = F.concat_ws("/", F.lit("stage"), "file_name")
-    files = t.docs.select(location.alias("location"), F.encode(data, "utf-8").alias("content"))
+    files = t.heavy_docs.select(location.alias("location"), F.encode(data, "utf-8").alias("content"))
     todo = t.docs.select("file_id", "file_format", location.alias("current_location"))
     return extract.extract_text(todo, files).withColumn("char_count", F.coalesce("char_count", F.lit(0)))
 
@@ -158,7 +158,7 @@ SELECT doc_id, i - 1 AS chunk_index, chunks[i] AS chunk_text, CAST(round(length(
 FROM (SELECT doc_id, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM chunk_lists)""",
 )
 def chunk_documents(t: Tables) -> DataFrame:
-    return chunk.chunk(t.raw("documents").select("doc_id", _broken().alias("extracted_text")))
+    return chunk.chunk(t.heavy("documents", "doc_id").select("doc_id", _broken().alias("extracted_text")))
 
 
 @query(
@@ -172,7 +172,7 @@ SELECT file_name, file_format, count(*) AS total_chunks, min(token_count) AS min
 FROM tokens GROUP BY file_name, file_format""",
 )
 def chunk_stats(t: Tables) -> DataFrame:
-    chunks = chunk.chunk(t.docs.select("file_id", F.col("text").alias("extracted_text")))
+    chunks = chunk.chunk(t.heavy_docs.select("file_id", F.col("text").alias("extracted_text")))
     return reports.chunk_stats(chunks, t.registry)
 
 
@@ -205,7 +205,7 @@ FROM vectors GROUP BY doc_id""",
 def embed_hash(t: Tables) -> DataFrame:
     """Fingerprint of each document's vector."""
     model = models.hashing_embedder(256)
-    vectors = embed.embed(t.raw("documents").select("doc_id", "text"), "text", model)
+    vectors = embed.embed(t.heavy("documents", "doc_id").select("doc_id", "text"), "text", model)
     total = F.aggregate(
         F.transform("embedding", lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x
     )
@@ -244,7 +244,7 @@ def sql_classified(source: str, name: str, excerpt: str) -> str:
 FROM scored""",
 )
 def classify_rules(t: Tables) -> DataFrame:
-    todo = t.docs.select("file_id", "file_name", F.substring("text", 1, 1500).alias("excerpt"))
+    todo = t.heavy_docs.select("file_id", "file_name", F.substring("text", 1, 1500).alias("excerpt"))
     return classify.classify(todo).drop("error")
 
 
@@ -296,7 +296,7 @@ FROM replies""",
 )
 def parse_rerank(t: Tables) -> DataFrame:
     reply = F.replace(pick(_RERANK_REPLIES, F.col("event_id")), F.lit("R"), F.repeat("event_type", F.lit(120)))
-    replies = t.raw("events").select("event_id", reply.alias("reply"), F.lit(5).alias("n"))
+    replies = t.heavy("events", "event_id").select("event_id", reply.alias("reply"), F.lit(5).alias("n"))
     return search.with_parsed_rerank(replies, "reply", "n").drop("reply", "n")
 
 
@@ -327,6 +327,6 @@ def parse_classification(t: Tables) -> DataFrame:
     shape = pick(_CLASS_REPLIES, F.col("event_id"))
     reply = F.replace(shape, F.lit('"S"'), F.concat(F.lit('"'), F.repeat("event_type", F.lit(500)), F.lit('"')))
     reply = F.replace(reply, F.lit('"K"'), F.concat(F.lit('"'), "event_type", F.lit('"')))
-    replies = t.raw("events").select("event_id", reply.alias("reply"))
+    replies = t.heavy("events", "event_id").select("event_id", reply.alias("reply"))
     return classify.with_parsed_reply(replies, "reply").drop("reply")
 

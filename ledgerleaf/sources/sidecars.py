@@ -44,12 +44,7 @@ def parse_sidecars(raw: DataFrame, column: str = "value") -> DataFrame:
 
 def scan_sidecars(spark: SparkSession, directory: str) -> DataFrame:
     """One JSON object per ``*.json`` file."""
-    raw = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .text(directory)
-    )
+    raw = spark.read.text(directory, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     return parse_sidecars(raw)
 
 

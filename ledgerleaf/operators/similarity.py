@@ -8,16 +8,14 @@ hands on at most k rows per query, so pairs are never materialised.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions import vectors
-
 TOP_K = 5
 SCORE_PLACES = 6
 CHUNK_KEYS = ("file_id", "chunk_index")
@@ -27,20 +25,38 @@ QUERIES_PER_BLOCK = 256
 
 
 def score(embedding: Column, vector: Sequence[float]) -> Column:
-    """Cosine similarity with a fixed vector, rounded so that equal texts tie exactly."""
-    length = math.sqrt(sum(float(x) * float(x) for x in vector))
-    unit = [float(x) / length if length else 0.0 for x in vector]
-    value = F.try_divide(vectors.dot(embedding, F.lit(unit)), vectors.norm(embedding))
-    return F.when(F.size(embedding) == len(unit), F.round(value, SCORE_PLACES))
+    """Cosine similarity with a fixed vector, rounded so that equal texts tie exactly.
+
+    Null for null and zero vectors and for vectors of another width. One matrix product per Arrow batch: at 1024
+    numbers per vector about ten times faster than higher-order functions, which box every number.
+    """
+    unit = np.asarray(vector, dtype=np.float64)
+    length = np.linalg.norm(unit)
+    unit = unit / length if length else unit
+
+    @F.arrow_udf("double")
+    def cosine(vectors: pa.Array) -> pa.Array:
+        usable = pc.fill_null(pc.equal(pc.list_value_length(vectors), len(unit)), False)
+        rows = vectors.filter(usable).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(unit)).astype(np.float64)
+        lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        out = np.full(len(vectors), np.nan)
+        out[usable.to_numpy(zero_copy_only=False)] = np.divide(
+            rows @ unit, lengths, out=np.full_like(lengths, np.nan), where=lengths > 0
+        )
+        return pa.array(out, mask=np.isnan(out))
+
+    return F.round(cosine(embedding), SCORE_PLACES)
 
 
 def top_k(
     chunks: DataFrame, vector: Sequence[float], k: int = TOP_K, keys: Sequence[str] = CHUNK_KEYS
 ) -> DataFrame:
-    """The k best rows for one vector; equal scores are ordered by key. Other columns of ``chunks`` are kept."""
-    scored = chunks.where(F.col("embedding").isNotNull()).withColumn("score", score(F.col("embedding"), vector))
-    ranked = scored.where(F.col("score").isNotNull()).drop("embedding")
-    return ranked.orderBy(F.desc("score"), *keys).limit(k)
+    """The k best rows for one vector; equal scores are ordered by key. Other columns of ``chunks`` are kept.
+
+    Rows without a score sort last and are dropped behind the limit: a test before it would score every row twice.
+    """
+    scored = chunks.withColumn("score", score(F.col("embedding"), vector)).drop("embedding")
+    return scored.orderBy(F.desc_nulls_last("score"), *keys).limit(k).where(F.col("score").isNotNull())
 
 
 def searchable(chunks: DataFrame, registry: DataFrame) -> DataFrame:

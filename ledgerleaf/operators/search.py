@@ -127,8 +127,7 @@ def client_search(
     if "model_name" in chunks.columns:
         chunks = chunks.where(F.col("model_name") == embedder.name)
     asked = embed.embed(queries, "query", embedder, into="query_embedding")
-    found = similarity.searchable(chunks, registry)
-    top = materialise(similarity.batch_top_k(found, asked, embedder.width, k, population=chunks), "search-candidates")
+    top = similarity.available_top_k(chunks, registry, asked, embedder.width, k)
     lists = candidate_lists(top, chunks)
     listed = queries.select("query_id", "query", "client_account_id").join(lists, "query_id", "left")
 

@@ -1,14 +1,20 @@
 """Exact tenant-scoped similarity search.
 
-One query vector: a scored scan with a top-k per task, merged on the driver's behalf by Spark's own top-k operator.
-Many queries: chunks and queries of a tenant are cut into blocks of bounded size, and every chunk block meets every
-query block once. A tenant with a third of all chunks just has more blocks. Each meeting is one matrix product that
-hands on at most k rows per query, so pairs are never materialised.
+One query vector: a scored scan with Spark's own top-k. A few thousand queries: the queries, counted first, travel to
+the chunks; every task scans its share, keeps the best rows per query and hands on those alone, so vectors are never
+shuffled. More queries than that: chunks and queries of a tenant are cut into blocks of bounded size and every chunk
+block meets every query block once. A tenant with a third of all chunks just has more tasks or more blocks. Work is
+one matrix product per block, and pairs are never materialised.
+
+Whether a document may be shown is looked up for the best candidates only. When too few of a query's candidates are
+available, that query runs again, deeper, until enough are found or its tenant has no more chunks: the result is the
+same as filtering first, without joining vectors to the registry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +22,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerleaf.operators import sizing
+from ledgerleaf.session import materialise
+
 TOP_K = 5
 SCORE_PLACES = 6
 CHUNK_KEYS = ("file_id", "chunk_index")
 
 CHUNKS_PER_BLOCK = 20_000
 QUERIES_PER_BLOCK = 256
+QUERIES_TO_BROADCAST = 2048
+
+# Candidates looked at per wanted result, and how much deeper a query goes when they do not suffice.
+OVERSAMPLE = 8
+DEEPEN = 8
 
 
 def score(embedding: Column, vector: Sequence[float]) -> Column:
@@ -59,17 +73,51 @@ def top_k(
     return scored.orderBy(F.desc_nulls_last("score"), *keys).limit(k).where(F.col("score").isNotNull())
 
 
-def searchable(chunks: DataFrame, registry: DataFrame) -> DataFrame:
-    """Chunks of AVAILABLE documents (existence only, so no fan-out)."""
+def _available(candidates: DataFrame, registry: DataFrame, unique: Sequence[str]) -> DataFrame:
+    """Candidates of AVAILABLE documents. The candidates are few and stored, so the registry is not shuffled."""
     available = registry.where(F.col("processing_status") == "AVAILABLE").select("file_id")
-    return chunks.join(available, "file_id", "left_semi")
+    return available.join(candidates, "file_id").dropDuplicates(list(unique))
 
 
 def tenant_top_k(
     chunks: DataFrame, registry: DataFrame, client: str, vector: Sequence[float], k: int = TOP_K
 ) -> DataFrame:
     """Top-k of one tenant's available chunks; on a table partitioned by client only that partition is read."""
-    return top_k(searchable(chunks.where(F.col("client_account_id") == client), registry), vector, k)
+    mine = chunks.where(F.col("client_account_id") == client)
+    depth = k * OVERSAMPLE
+    while True:
+        ranked = materialise(top_k(mine, vector, depth), "tenant-candidates")
+        best = _available(ranked, registry, CHUNK_KEYS).orderBy(F.desc("score"), *CHUNK_KEYS).limit(k)
+        if ranked.count() < depth or best.count() == k:
+            return best
+        depth *= DEEPEN
+
+
+def available_top_k(
+    chunks: DataFrame,
+    registry: DataFrame,
+    queries: DataFrame,
+    width: int,
+    k: int = TOP_K,
+    oversample: int = OVERSAMPLE,
+    **blocks: int,
+) -> DataFrame:
+    """(query_id, client_account_id, file_id, chunk_index, score, rank): k best available chunks per query."""
+    depth, parts = k * oversample, []
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), *CHUNK_KEYS)
+    while True:
+        ranked = materialise(batch_top_k(chunks, queries, width, depth, **blocks), "search-candidates").drop("rank")
+        live = _available(ranked, registry, ["query_id", *CHUNK_KEYS])
+        best = live.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        best = materialise(best.select("query_id", "client_account_id", *CHUNK_KEYS, "score", "rank"), "search-best")
+        full = ranked.groupBy("query_id").count().where(F.col("count") == depth).select("query_id")
+        served = best.where(F.col("rank") == k).select("query_id")
+        short = full.join(served, "query_id", "left_anti")
+        parts.append(best.join(short, "query_id", "left_anti"))
+        if short.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
+        queries = queries.join(short, "query_id", "left_semi")
+        depth *= DEEPEN
 
 
 def _blocks(df: DataFrame, tenant: str, size: int, name: str) -> DataFrame:
@@ -83,6 +131,30 @@ def _unit_rows(table: pa.Table, column: str) -> np.ndarray:
     return np.divide(rows, lengths, out=np.full_like(rows, np.nan), where=lengths > 0)
 
 
+def _best_per_query(corpus: pa.Table, asked: pa.Table, query_id: str, keep: Sequence[str], keys: Sequence[str], k: int) -> pa.Table:
+    """The k best corpus rows for every query: one matrix product, then a cut per query."""
+    fields = [asked.schema.field(query_id), *[corpus.schema.field(c) for c in keep]]
+    schema = pa.schema([*fields, pa.field("score", pa.float64())])
+    if corpus.num_rows == 0 or asked.num_rows == 0:
+        return schema.empty_table()
+    corpus = corpus.sort_by([(c, "ascending") for c in keys])
+    scores = np.round(_unit_rows(asked, "query_embedding") @ _unit_rows(corpus, "embedding").T, SCORE_PLACES)
+    scores = np.where(np.isnan(scores), -np.inf, scores)
+    at = max(corpus.num_rows - k, 0)
+    bars = np.partition(scores, at, axis=1)[:, at]
+    query_rows, chunk_rows = [], []
+    for i, (row, bar) in enumerate(zip(scores, bars)):
+        # Everything at or above the bar, in key order; a stable sort keeps that order among equals.
+        near = np.flatnonzero((row >= bar) & (row > -np.inf))
+        near = near[np.argsort(-row[near], kind="stable")][:k]
+        query_rows.append(np.full(len(near), i))
+        chunk_rows.append(near)
+    qi, ci = np.concatenate(query_rows), np.concatenate(chunk_rows)
+    picked = corpus.take(pa.array(ci))
+    columns = [asked.column(query_id).take(pa.array(qi)), *[picked.column(c) for c in keep]]
+    return pa.Table.from_arrays([*columns, pa.array(scores[qi, ci])], schema=schema)
+
+
 def batch_top_k(
     chunks: DataFrame,
     queries: DataFrame,
@@ -93,18 +165,16 @@ def batch_top_k(
     keys: Sequence[str] = CHUNK_KEYS,
     chunks_per_block: int = CHUNKS_PER_BLOCK,
     queries_per_block: int = QUERIES_PER_BLOCK,
-    population: DataFrame | None = None,
+    queries_to_broadcast: int = QUERIES_TO_BROADCAST,
 ) -> DataFrame:
     """(query_id, tenant, *keys, score, rank): the k best chunks per query within the query's tenant.
 
     ``queries`` holds (query_id, tenant, query_embedding). Chunks of another width belong to another model and are
-    left out; a query of another width is refused. Block counts come from ``population`` (the chunk table before any
-    filter, say), of which only the tenant column is read; any table with at least as many rows will do.
+    left out; a query of another width is refused.
     """
     keys = list(keys)
-    usable = chunks.where(F.col("embedding").isNotNull() & (F.size("embedding") == width)).select(
-        tenant, *keys, "embedding"
-    )
+    keep = [tenant, *keys]
+    usable = chunks.where(F.col("embedding").isNotNull() & (F.size("embedding") == width)).select(*keep, "embedding")
     checked = queries.select(
         query_id,
         tenant,
@@ -112,50 +182,74 @@ def batch_top_k(
         .otherwise(F.raise_error(F.lit(f"query vector is not {width} wide")))
         .alias("query_embedding"),
     )
-    sized = chunks if population is None else population
-    grid = _blocks(sized, tenant, chunks_per_block, "__c").join(
-        _blocks(queries, tenant, queries_per_block, "__q"), tenant
-    )
-    left = usable.join(grid, tenant).select(
-        tenant,
-        *keys,
-        "embedding",
-        F.pmod(F.xxhash64(*keys), "__c").alias("cblock"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__q") - 1)).alias("qblock"),
-    )
-    right = checked.join(grid, tenant).select(
-        tenant,
-        query_id,
-        "query_embedding",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__c") - 1)).alias("cblock"),
-        F.pmod(F.xxhash64(query_id), "__q").alias("qblock"),
-    )
     types = {f.name: f.dataType.simpleString() for f in [*chunks.schema.fields, *queries.schema.fields]}
-    out_schema = ", ".join(f"`{c}` {types[c]}" for c in [query_id, tenant, *keys]) + ", score double"
-
-    def best_of_block(corpus: pa.Table, asked: pa.Table) -> pa.Table:
-        fields = [asked.schema.field(query_id), *[corpus.schema.field(c) for c in [tenant, *keys]]]
-        schema = pa.schema([*fields, pa.field("score", pa.float64())])
-        if corpus.num_rows == 0 or asked.num_rows == 0:
-            return schema.empty_table()
-        corpus = corpus.sort_by([(c, "ascending") for c in keys])
-        scores = np.round(_unit_rows(asked, "query_embedding") @ _unit_rows(corpus, "embedding").T, SCORE_PLACES)
-        scores = np.where(np.isnan(scores), -np.inf, scores)
-        at = max(corpus.num_rows - k, 0)
-        bars = np.partition(scores, at, axis=1)[:, at]
-        query_rows, chunk_rows = [], []
-        for i, (row, bar) in enumerate(zip(scores, bars)):
-            # Everything at or above the bar, in key order; a stable sort keeps that order among equals.
-            near = np.flatnonzero((row >= bar) & (row > -np.inf))
-            near = near[np.argsort(-row[near], kind="stable")][:k]
-            query_rows.append(np.full(len(near), i))
-            chunk_rows.append(near)
-        qi, ci = np.concatenate(query_rows), np.concatenate(chunk_rows)
-        picked = corpus.take(pa.array(ci))
-        columns = [asked.column(query_id).take(pa.array(qi)), *[picked.column(c) for c in [tenant, *keys]]]
-        return pa.Table.from_arrays([*columns, pa.array(scores[qi, ci])], schema=schema)
-
-    group = [tenant, "cblock", "qblock"]
-    partial = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(best_of_block, out_schema)
+    out_schema = ", ".join(f"`{c}` {types[c]}" for c in [query_id, *keep]) + ", score double"
+
+    if sizing.is_small(queries, queries_to_broadcast):
+        partial = _scan(usable, checked, k, tenant, query_id, keys, chunks_per_block, out_schema)
+    else:
+        grid = _blocks(chunks, tenant, chunks_per_block, "__c").join(
+            _blocks(queries, tenant, queries_per_block, "__q"), tenant
+        )
+        left = usable.join(grid, tenant).select(
+            *keep,
+            "embedding",
+            F.pmod(F.xxhash64(*keys), "__c").alias("cblock"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__q") - 1)).alias("qblock"),
+        )
+        right = checked.join(grid, tenant).select(
+            tenant,
+            query_id,
+            "query_embedding",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__c") - 1)).alias("cblock"),
+            F.pmod(F.xxhash64(query_id), "__q").alias("qblock"),
+        )
+
+        def best_of_block(corpus: pa.Table, asked: pa.Table) -> pa.Table:
+            return _best_per_query(corpus, asked, query_id, keep, keys, k)
+
+        group = [tenant, "cblock", "qblock"]
+        partial = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(best_of_block, out_schema)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), *keys)
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _scan(
+    usable: DataFrame,
+    queries: DataFrame,
+    k: int,
+    tenant: str,
+    query_id: str,
+    keys: list[str],
+    rows_at_once: int,
+    out_schema: str,
+) -> DataFrame:
+    """Scans the chunks once with a bounded set of queries in every task; each task keeps k rows per query."""
+    asked = queries.toArrow()
+    tenants = asked.column(tenant).unique().to_pylist()
+    by_tenant = {t: asked.filter(pc.equal(asked.column(tenant), t)) for t in tenants}
+    keep = [tenant, *keys]
+
+    def best_so_far(best: pa.Table | None, held: list[pa.RecordBatch]) -> pa.Table:
+        corpus = pa.Table.from_batches(held)
+        found = [
+            _best_per_query(corpus.filter(pc.equal(corpus.column(tenant), t)), some, query_id, keep, keys, k)
+            for t, some in by_tenant.items()
+        ]
+        merged = pa.concat_tables(found if best is None else [best, *found]).to_pandas()
+        merged = merged.sort_values(["score", *keys], ascending=[False, *[True] * len(keys)], kind="stable")
+        return pa.Table.from_pandas(merged.groupby(query_id, sort=False).head(k), found[0].schema, preserve_index=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, held, rows = None, [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= rows_at_once:
+                best, held, rows = best_so_far(best, held), [], 0
+        if rows:
+            best = best_so_far(best, held)
+        if best is not None:
+            yield from best.to_batches()
+
+    return usable.where(F.col(tenant).isin(tenants)).mapInArrow(run, out_schema)

@@ -55,7 +55,7 @@ def vector_topk_batch(t: Tables) -> DataFrame:
         F.concat(F.lit("CLIENT_"), (F.col("label") % 3).cast("string")).alias("client_account_id"),
         F.col("embedding").alias("query_embedding"),
     )
-    return similarity.batch_top_k(similarity.searchable(t.chunks, t.registry), queries, WIDTH)
+    return similarity.available_top_k(t.chunks, t.registry, queries, WIDTH)
 
 
 EMBED_WIDTH = 256

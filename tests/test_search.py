@@ -55,15 +55,16 @@ def test_single_query(spark, corpus):
         assert [(r.file_id, r.chunk_index, r.score) for r in got] == brute_force(rows, client, query, 5)
 
 
-@pytest.mark.parametrize("chunk_block, query_block", [(10_000, 1000), (13, 4), (1, 1)])
-def test_batch_equals_brute_force(spark, corpus, chunk_block, query_block):
+@pytest.mark.parametrize("chunk_block, query_block, scan", [(10_000, 1000, 0), (13, 4, 0), (10_000, 0, 100), (17, 0, 100)])
+def test_batch_equals_brute_force(spark, corpus, chunk_block, query_block, scan):
     rows, chunks, registry = corpus
     rng = np.random.default_rng(11)
     asked = [(i, ("hot", "cold0", "cold1", "nobody")[i % 4], [float(x) for x in rng.integers(-2, 3, WIDTH)]) for i in range(24)]
     queries = spark.createDataFrame(asked, "query_id int, client_account_id string, query_embedding array<float>")
-    top = similarity.batch_top_k(
-        similarity.searchable(chunks, registry), queries, WIDTH, 7, chunks_per_block=chunk_block, queries_per_block=query_block
-    )
+    top = similarity.available_top_k(
+        chunks, registry, queries, WIDTH, 7, oversample=1,
+        chunks_per_block=chunk_block, queries_per_block=query_block, queries_to_broadcast=scan,
+    )
     got = {}
     for r in top.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.file_id, r.chunk_index, r.score))

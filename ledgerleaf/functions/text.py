@@ -69,6 +69,11 @@ def strip_fences(reply: Column, ignore_case: bool = True) -> Column:
     return js_trim(F.replace(opened, F.lit("```"), F.lit("")))
 
 
+def completion_text(response: Column) -> Column:
+    """The reply inside a completion service's JSON response; null when the path is absent."""
+    return F.get_json_object(response, "$.choices[0].messages")
+
+
 def labelled_row(columns: list[str]) -> Column:
     """``name: value`` pairs joined by a bar; blank and missing values are left out."""
     cells = [

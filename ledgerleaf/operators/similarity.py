@@ -34,7 +34,7 @@ QUERIES_PER_BLOCK = 256
 QUERIES_TO_BROADCAST = 2048
 
 # Candidates looked at per wanted result, and how much deeper a query goes when they do not suffice.
-OVERSAMPLE = 8
+OVERSAMPLE = 16
 DEEPEN = 8
 
 
@@ -74,9 +74,9 @@ def top_k(
 
 
 def _available(candidates: DataFrame, registry: DataFrame, unique: Sequence[str]) -> DataFrame:
-    """Candidates of AVAILABLE documents. The candidates are few and stored, so the registry is not shuffled."""
+    """Candidates of AVAILABLE documents. The candidates are stored and counted; while few, the registry stays put."""
     available = registry.where(F.col("processing_status") == "AVAILABLE").select("file_id")
-    return available.join(candidates, "file_id").dropDuplicates(list(unique))
+    return available.join(sizing.broadcast_if_small(candidates), "file_id").dropDuplicates(list(unique))
 
 
 def tenant_top_k(

@@ -293,7 +293,7 @@ class Tables:
             .when(i % 10 == 2, inner)
             .otherwise(F.concat(F.lit('{"detail": '), inner, F.lit("}")))
         )
-        return self.raw("events").select(
+        return self.heavy("events", "event_id").select(
             F.to_json(F.struct(F.array(F.struct(body.alias("body"))).alias("Records"))).alias("value")
         )
 
@@ -314,6 +314,10 @@ class Tables:
         side = F.when(F.col("l_linenumber") % 2 == 1, F.lit("BUY")).otherwise(F.lit("SELL"))
         return lines.withColumn("side", side)
 
+    @cached_property
+    def heavy_trades(self) -> DataFrame:
+        return spread(self.trades, "l_orderkey")
+
 
 # The same tables as DuckDB common table expressions.
 _DOCS = f"""docs AS (

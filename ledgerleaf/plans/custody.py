@@ -102,7 +102,7 @@ totals AS (SELECT portfolio, sum(value) AS nav FROM positions GROUP BY portfolio
 )
 def valuation_share(t: Tables) -> DataFrame:
     kind = F.when(F.col("l_returnflag") == "R", F.lit("BOND")).otherwise(F.lit("EQUITY"))
-    positions = t.trades.select(
+    positions = t.heavy_trades.select(
         *_KEYS,
         (F.col("l_suppkey") % 50).alias("portfolio"),
         measures.market_value(kind, F.col("quantity"), F.col("gross")).alias("value"),
@@ -122,7 +122,7 @@ _HELD4 = _cents("gross * rate_pct * 4 * 0.01")
 FROM trades GROUP BY l_orderkey""",
 )
 def reclaim(t: Tables) -> DataFrame:
-    items = t.trades.select(
+    items = t.heavy_trades.select(
         F.col("l_orderkey").alias("claim"), "gross", (F.col("rate_pct") * 4).cast("decimal(18,2)").alias("rate")
     )
     return measures.reclaim_totals(items, "claim", "gross", "rate")
@@ -136,7 +136,7 @@ def reclaim(t: Tables) -> DataFrame:
   CAST(sum({_cents("quantity * gross")}) + sum({_SURCHARGE}) AS DOUBLE) AS total FROM trades GROUP BY l_orderkey""",
 )
 def invoice_totals(t: Tables) -> DataFrame:
-    lines = t.trades.select(F.col("l_orderkey").alias("invoice"), "quantity", "gross", _surcharge(t).alias("extra"))
+    lines = t.heavy_trades.select(F.col("l_orderkey").alias("invoice"), "quantity", "gross", _surcharge(t).alias("extra"))
     return measures.invoice_totals(lines, "invoice", "quantity", "gross", "extra")
 
 
@@ -204,7 +204,7 @@ def reconcile(t: Tables) -> DataFrame:
     The statements are stored first, as reports are; checking them is then one scan.
     """
     bond = F.col("l_returnflag") == "R"
-    rows = t.trades.withColumn("asset_class", F.when(bond, F.lit("BOND")).otherwise(F.lit("EQUITY")))
+    rows = t.heavy_trades.withColumn("asset_class", F.when(bond, F.lit("BOND")).otherwise(F.lit("EQUITY")))
     true_gross = measures.market_value(F.col("asset_class"), F.col("quantity"), F.col("gross"))
     wrong = F.when(F.col("l_linenumber") == 5, F.lit(100)).otherwise(F.lit(0))
     rows = rows.withColumn("true_gross", true_gross).withColumn("gross_value_usd", (F.col("true_gross") + wrong * 100).cast("decimal(18,2)"))

@@ -11,7 +11,7 @@ from ledgerleaf.operators import chunk, embed, models, search, similarity, views
 from ledgerleaf.plans.adapters import Tables, ts_text, with_tables
 from ledgerleaf.plans.catalog import query
 from ledgerleaf.plans.texts import sql_chunks, sql_vectors
-from ledgerleaf.session import materialise
+from ledgerleaf.session import materialise, spread
 
 CLIENT = "CLIENT_1"
 # A fixed query vector of the embeddings' width.
@@ -55,7 +55,7 @@ def vector_topk_batch(t: Tables) -> DataFrame:
         F.concat(F.lit("CLIENT_"), (F.col("label") % 3).cast("string")).alias("client_account_id"),
         F.col("embedding").alias("query_embedding"),
     )
-    return similarity.available_top_k(t.chunks, t.registry, queries, WIDTH)
+    return similarity.available_top_k(spread(t.chunks, "file_id"), t.registry, queries, WIDTH)
 
 
 EMBED_WIDTH = 256

@@ -300,6 +300,19 @@ def parse_rerank(t: Tables) -> DataFrame:
     return search.with_parsed_rerank(replies, "reply", "n").drop("reply", "n")
 
 
+@query(
+    "completion_replies",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'reply to ' || event_type || ' ' || props END AS reply
+FROM events""",
+)
+def completion_replies(t: Tables) -> DataFrame:
+    """Replies taken out of service responses; a third of the responses has none."""
+    reply = F.concat(F.lit("reply to "), "event_type", F.lit(" "), "props")
+    choice = F.when(F.col("event_id") % 3 != 0, F.struct(reply.alias("messages")))
+    response = F.to_json(F.struct(F.array_compact(F.array(choice)).alias("choices")))
+    return t.raw("events").select("event_id", tx.completion_text(response).alias("reply"))
+
+
 _CLASS_REPLIES = (
     '{"document_type": "tax_profile ", "confidence": "high", "key_indicators": ["K", "b"], "summary": "S"}',
     '```JSON\n{"document_type": "INCOME_REPORT", "summary": "S"}\n```',

@@ -63,7 +63,8 @@ def spread(df: DataFrame, *keys: str, per_core: int = 2) -> DataFrame:
     """Redistributes an input that has too few partitions for the cores at hand, ahead of heavy per-row work.
 
     A few small or unsplittable files would otherwise keep most cores idle. An input with enough partitions, which is
-    every large one, is returned as it is.
+    every large one, is returned as it is. Meant for scans and projections of scans: counting the partitions of a plan
+    with shuffles would run them.
     """
     wanted = per_core * df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df

@@ -96,6 +96,11 @@ def test_fences(spark):
     assert one(spark, tx.strip_fences(F.lit("```json{}```"), ignore_case=False)) == ("{}",)
 
 
+def test_completion_text(spark):
+    responses = [F.lit('{"choices": [{"messages": "{\\"a\\": 1}"}]}'), F.lit('{"choices": []}'), F.lit("oops")]
+    assert one(spark, *[tx.completion_text(r) for r in responses]) == ('{"a": 1}', None, None)
+
+
 def test_labelled_row_drops_blanks(spark):
     row = spark.createDataFrame([("x", " ", None, "5")], "a string, b string, c string, d string")
     assert row.select(tx.labelled_row(row.columns)).first()[0] == "a: x | d: 5"

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerleaf import schemas
 from ledgerleaf.functions import paths
 from ledgerleaf.operators import chunk, classify, embed, extract, models, route, state
+from ledgerleaf.session import materialise
 from ledgerleaf.sinks import ChangeLog
 
 STEPS_PER_BATCH = 10
@@ -33,6 +34,7 @@ _ROUTES = schemas._table(
 _READ = schemas._table(
     ("file_id", schemas._S), ("extracted_text", schemas._S), ("char_count", schemas._L), ("error", schemas._S)
 )
+_EMBEDDED = schemas._table(("file_id", schemas._S), ("error", schemas._S))
 _CLASSIFIED = schemas._table(
     *[(f.name, f.dataType) for f in schemas.DOCUMENT_CLASSIFICATION.fields if f.name != "classified_ts"],
     ("error", schemas._S),
@@ -60,6 +62,7 @@ class Pipeline:
         self.routes = self._log("routes", _ROUTES, "relative_path", "file_id")
         self.read = self._log("read", _READ, "file_id")
         self.chunks = self._log("chunks", schemas.DOCUMENT_CHUNKS, "file_id", "chunk_index")
+        self.embedded = self._log("embedded", _EMBEDDED, "file_id")
         self.classified = self._log("classified", _CLASSIFIED, "file_id")
 
     # -- current tables -------------------------------------------------------------------------------------------
@@ -70,10 +73,14 @@ class Pipeline:
         return self.classified.current(**kw).where(F.col("error").isNull()).drop("error")
 
     def current_chunks(self) -> DataFrame:
-        """Chunks of each document's latest embedding run."""
-        rows = self.chunks.changes()
-        latest = rows.groupBy("file_id").agg(F.max("seq").alias("seq"))
-        return rows.join(latest, ["file_id", "seq"]).drop("seq")
+        """Chunks of each document's latest embedding run, which may have left none.
+
+        Documents embedded more than once are few; they are listed first, so the vectors stay where they are.
+        """
+        runs = self.embedded.changes().groupBy("file_id").agg(F.max("seq").alias("latest"), F.min("seq").alias("first"))
+        repeated = materialise(runs.where(F.col("latest") > F.col("first")).select("file_id", "latest"), "re-embedded")
+        rows = self.chunks.changes().join(repeated, "file_id", "left")
+        return rows.where(F.col("latest").isNull() | (F.col("seq") == F.col("latest"))).drop("seq", "latest")
 
     # -- one micro-batch --------------------------------------------------------------------------------------------
     def run_batch(self, files: DataFrame, batch_id: int, as_of) -> None:
@@ -117,7 +124,8 @@ class Pipeline:
         known = self.registry.current(before=seq, within=mine)
         todo = chunk.pending(known, self.texts(before=seq, within=mine))
         self.chunks.write(embed.chunk_and_embed(todo, self.embedder, as_of), seq)
-        outcomes = embed.outcomes(todo)
+        self.embedded.write(embed.outcomes(todo), seq)
+        outcomes = self.embedded.changes(only=seq)
         self.registry.write(embed.registry_delta(known, outcomes, as_of), seq)
         self.audit.write(state.audit_rows(outcomes, "EMBED", as_of, as_of), seq)
 
@@ -136,6 +144,7 @@ class Pipeline:
         return {
             "route": route.counters(self.routes.changes(only=base + ROUTE)),
             "extract": extract.counters(self.read.changes(only=base + EXTRACT)),
+            "embed": embed.counters(self.embedded.changes(only=base + EMBED)),
             "classify": classify.counters(self.classified.changes(only=base + CLASSIFY)),
         }
 

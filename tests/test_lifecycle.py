@@ -227,4 +227,8 @@ def test_chain_over_files_and_replay(spark, incoming):
     run.run_batch(again, 1, AS_OF)
     assert (as_set(run.registry.current()), as_set(run.current_chunks()), as_set(run.audit.changes())) == first
     assert run.counters(1)["route"].first().routed == 1
+    assert run.counters(1)["embed"].first().embedded == 1
     assert {r.client_account_id for r in run.current_chunks().collect()} == {"C1"}
+    # A later run that leaves no chunks clears the document's old ones.
+    run.embedded.write(spark.createDataFrame([("1", None)], "file_id string, error string"), 99)
+    assert {r.file_id for r in run.current_chunks().collect()} == {"2"}

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerleaf.llm import exact_dedup, mixing, packing, simhash, token_files
+from ledgerleaf.llm import exact_dedup, imatch, mixing, packing, quality, simhash, token_files, toxicity
 from ledgerleaf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +21,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, folder, manifest)
 
 
+def op3_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.scored(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,15 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.scored(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -39,8 +52,11 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_exact_dedup,
         op2_token_files,
+        op3_quality_network,
         op5_best_fit_packing,
         op6_simhash_near_dedup,
+        op7_imatch_fingerprints,
+        op9_toxicity_distance,
         op10_source_mixing,
     )
 }

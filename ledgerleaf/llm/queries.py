@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerleaf.llm import exact_dedup, imatch, mixing, packing, quality, simhash, token_files, toxicity
+from ledgerleaf.llm import exact_dedup, imatch, mixing, packing, page_text, quality, simhash, token_files, toxicity
 from ledgerleaf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.scored(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
         op5_best_fit_packing,
         op6_simhash_near_dedup,
         op7_imatch_fingerprints,
+        op8_site_style_tree,
         op9_toxicity_distance,
         op10_source_mixing,
     )

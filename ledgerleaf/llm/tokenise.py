@@ -22,6 +22,8 @@ CACHE_WORDS = 500_000
 BLOCK_CHARS = 4_000_000
 
 _ODD_BYTE = re.compile(r"<\||\s\s|\A\s|\s\Z|[^\S \n]")
+#: Letters and marks of which every version of Unicode knows the kind; U+0130 is left out, as its lower case is two.
+_LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+", r"[!-/:-@\[-`{-~]*"
 _ODD_WORD = re.compile("<\\||[\x1c-\x1f\x85]")
 
 
@@ -51,19 +53,47 @@ class Encoder:
         self.spaced = self._ids("a b") != self._ids("a") + self._ids("b")
         self.cache_words = cache_words
         self.known: dict[str, bytes] = {}
-        self.newline = self._ids("\n")
+        self.folds = self._ids("Aa") == self._ids("aa")
+        self._simple = re.compile(("( " if self.spaced else "(") + _LETTERS + ")(" + _MARKS + r")\Z").match
+        size = max(self.tokenizer.get_vocab().values()) + 1
+        self.edge = np.zeros(size, dtype=bool)
+        for token, at in self.tokenizer.get_vocab().items():
+            self.edge[at] = token.startswith("\u0120") if self.spaced else token.endswith("</w>")
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _learn(self, words: set[str]) -> None:
+        """Ids of unknown words: a run of letters and what punctuation follows it are encoded apart, as the pattern does."""
         if len(self.known) + len(words) > self.cache_words:
             self.known.clear()
-        unknown = list(words)
-        for at in range(0, len(unknown), 2000):
-            part = unknown[at : at + 2000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+        parts = {w: (m[1].lower() if self.folds and m[1].isascii() else m[1], m[2]) for w in words if (m := self._simple(w))}
+        self._learn_letters({stem for stem, _ in parts.values()}.difference(self.known))
+        rest = (words - parts.keys()) | {tail for _, tail in parts.values() if tail}
+        rest = list(rest.difference(self.known))
+        for at in range(0, len(rest), 2000):
+            batch = rest[at : at + 2000]
+            for word, got in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
                 self.known[word] = np.array(got.ids, dtype="<u2").tobytes()
+        for word, (stem, tail) in parts.items():
+            self.known[word] = self.known[stem] + self.known[tail] if tail else self.known[stem]
+
+    def _learn_letters(self, stems: set[str]) -> None:
+        """Many runs of letters in one text: every run starts, or ends, with a token that no other place has."""
+        todo = list(stems)
+        for at in range(0, len(todo), 1000):
+            batch = todo[at : at + 1000]
+            text = "".join(batch) if self.spaced else " ".join(batch)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+            edges = np.flatnonzero(self.edge[ids])
+            ends = np.append(edges[1:], len(ids)) if self.spaced else edges + 1
+            if len(ends) == len(batch):
+                data, begin = ids.tobytes(), 0
+                for stem, end in zip(batch, (2 * ends).tolist()):
+                    self.known[stem] = data[begin:end]
+                    begin = end
+            else:
+                self.known.update((stem, self._ids(stem)) for stem in batch)
 
     def _words(self, text: str) -> list[str] | None:
         """The text in pieces that can be encoded one by one; None if it has to be encoded as a whole."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerleaf.llm import exact_dedup, imatch, mixing, packing, page_text, quality, simhash, token_files, toxicity
+from ledgerleaf.llm import exact_dedup, imatch, licenses, mixing, packing, page_text, quality, simhash, token_files, toxicity
 from ledgerleaf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op3_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
         op1_exact_dedup,
         op2_token_files,
         op3_quality_network,
+        op4_license_scan,
         op5_best_fit_packing,
         op6_simhash_near_dedup,
         op7_imatch_fingerprints,
@@ -116,4 +121,4 @@ SELECT d.doc_id, d.size, q.source_size, q.target,
 FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op10_source_mixing": OP10_SQL}
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op4_license_scan": licenses.duckdb_sql(), "op10_source_mixing": OP10_SQL}

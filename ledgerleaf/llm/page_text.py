@@ -3,9 +3,9 @@
 Every page is parsed into blocks of text under element nodes; a node is its chain of labels (tag, classes and id) from
 the root. The pages of a host are merged by counting, for each node, in how many pages it occurs, which sequences of
 children it shows there, and which block texts it holds. From these counts come two importances between 0 and 1:
-presentation, the entropy of the child sequences over the node's pages, and content, one minus the mean entropy of the
-block texts over the pages. A text that every page repeats has entropy one and is unimportant; one that a single page
-has is important. A node's importance is the mean of both, content weighing ``CONTENT_SHARE``.
+presentation, the entropy of the child sequences over an element node's pages, and content, one minus the entropy of a
+block's text over them. A text that every page repeats has entropy one and is unimportant; one that a single page has is
+important. A content node, a text under an element node, has the mean of both, content weighing ``CONTENT_SHARE``.
 
 What a page keeps follows from the node's zone. Named noise (navigation, footers, asides, forms, and classes or ids
 that say so) weighs nothing and goes. Named content (article, main) is never below the threshold and stays, so that a
@@ -70,8 +70,8 @@ _SPACE = re.compile(r"\s+")
 
 
 class Page(NamedTuple):
-    #: (node, zone, text) in page order; noise is left out.
-    blocks: list[tuple[int, int, str]]
+    #: (node, zone, feature, text) in page order; noise is left out.
+    blocks: list[tuple[int, int, int, str]]
     #: (node, kind, feature, times): kind 0 has the child sequence of an element, kind 1 a block's text.
     features: list[tuple[int, int, int, int]]
 
@@ -111,9 +111,10 @@ def parse(html: str) -> Page:
         held.clear()
         if text:
             at = stack[-1]
-            shown[at.node, 1, _hash(text)] += 1
+            feature = _hash(text)
+            shown[at.node, 1, feature] += 1
             if at.zone != NOISE:
-                blocks.append((at.node, at.zone, text))
+                blocks.append((at.node, at.zone, feature, text))
 
     def close(depth: int) -> None:
         """Ends the elements from a depth on, innermost first."""
@@ -186,11 +187,11 @@ def parse(html: str) -> Page:
     return Page(blocks, [(*key, times) for key, times in shown.items()])
 
 
-_BLOCK = pa.list_(pa.struct([("node", pa.int64()), ("zone", pa.int32()), ("text", pa.string())]))
+_BLOCK = pa.list_(pa.struct([("node", pa.int64()), ("zone", pa.int32()), ("feature", pa.int64()), ("text", pa.string())]))
 _FEATURE = pa.list_(pa.struct([("node", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("times", pa.int64())]))
 _PARSED = (
     "page_id long, url string, host string, content long, "
-    "blocks array<struct<node: long, zone: int, text: string>>, features array<struct<node: long, kind: int, feature: long, times: long>>"
+    "blocks array<struct<node: long, zone: int, feature: long, text: string>>, features array<struct<node: long, kind: int, feature: long, times: long>>"
 )
 
 
@@ -202,8 +203,8 @@ def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     *(part.column(c) for c in ("page_id", "url", "host")),
-                    pa.array([_hash(*(t for _, _, t in p.blocks)) for p in pages], pa.int64()),
-                    pa.array([[{"node": n, "zone": z, "text": t} for n, z, t in p.blocks] for p in pages], _BLOCK),
+                    pa.array([_hash(*(b[2] for b in p.blocks)) for p in pages], pa.int64()),
+                    pa.array([[{"node": n, "zone": z, "feature": f, "text": t} for n, z, f, t in p.blocks] for p in pages], _BLOCK),
                     pa.array([[{"node": n, "kind": k, "feature": f, "times": c} for n, k, f, c in p.features] for p in pages], _FEATURE),
                 ],
                 names=["page_id", "url", "host", "content", "blocks", "features"],
@@ -211,26 +212,25 @@ def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def importance(parsed: DataFrame) -> DataFrame:
-    """(host, node, importance) of the merged style tree of every host."""
+    """(host, node, feature, importance) of the content nodes that more than one page of a host shows."""
     once = parsed.groupBy("host", "content").agg(F.min("row_no").alias("row_no")).select("row_no")
     features = parsed.join(once, "row_no", "left_semi").select("host", F.explode("features").alias("f")).select("host", "f.*")
-    log = F.log(F.col("times").cast("double"))
-    merged = features.groupBy("host", "node", "kind", "feature").agg(
-        F.sum("times").alias("times"), F.sum(F.col("times") * log).alias("own"), F.count(F.lit(1)).alias("pages")
+    log = lambda column: F.log(column.cast("double"))
+    merged = materialise(
+        features.groupBy("host", "node", "kind", "feature").agg(
+            F.sum("times").alias("times"), F.sum(F.col("times") * log(F.col("times"))).alias("own"), F.count(F.lit(1)).alias("pages")
+        ),
+        "style-tree",
     )
-    # a node's pages: each shows the node with at least one child sequence
-    spread = F.log(F.col("times").cast("double")) - F.col("own") / F.col("times")
-    nodes = merged.groupBy("host", "node").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("times"))).alias("shown"),
-        F.sum(F.when(F.col("kind") == 0, F.col("times") * F.log(F.col("times").cast("double")))).alias("styles"),
-        F.max(F.when(F.col("kind") == 1, F.col("pages"))).alias("most"),
-        F.avg(F.when(F.col("kind") == 1, spread)).alias("repeated"),
+    nodes = merged.filter("kind = 0").groupBy("host", "node").agg(
+        F.sum("times").alias("shown"), F.sum(F.col("times") * log(F.col("times"))).alias("styles")
     )
-    many = F.greatest(F.coalesce("shown", F.lit(1)), F.coalesce("most", F.lit(1))).cast("double")
-    styles = F.when(many > 1, (F.log(F.col("shown").cast("double")) - F.col("styles") / F.col("shown")) / F.log(many)).otherwise(1.0)
-    content = F.when(many > 1, 1 - F.col("repeated") / F.log(many)).otherwise(1.0)
-    both = CONTENT_SHARE * F.coalesce(content, F.lit(1.0)) + (1 - CONTENT_SHARE) * F.coalesce(styles, F.lit(1.0))
-    return nodes.select("host", "node", both.alias("importance"))
+    texts = merged.filter("kind = 1 and pages > 1").select("host", "node", "feature", "times", "own", "pages")
+    both = texts.join(nodes, ["host", "node"])
+    many = F.greatest("shown", "pages", F.lit(2))
+    content = 1 - (log(F.col("times")) - F.col("own") / F.col("times")) / log(many)
+    styles = (log(F.col("shown")) - F.col("styles") / F.col("shown")) / log(many)
+    return both.select("host", "node", "feature", (CONTENT_SHARE * content + (1 - CONTENT_SHARE) * styles).alias("importance"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -239,11 +239,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host = F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), host.alias("host"), text_of(F.col(html_col)).alias("html"))
     parsed = materialise(rows.mapInArrow(_parse_all, _PARSED).withColumn("row_no", F.monotonically_increasing_id()), "pages")
-    low = materialise(importance(parsed).filter(F.col("importance") < THRESHOLD).select("host", "node"), "low-branches")
-    undecided = F.array_distinct(F.transform(F.filter("blocks", lambda b: b.zone == OPEN), lambda b: b.node))
-    asked = parsed.select("row_no", "host", F.explode(undecided).alias("node"))
-    gone = asked.join(low, ["host", "node"]).groupBy("row_no").agg(F.collect_set("node").alias("gone"))  # nodes of one page
-    kept = F.filter("blocks", lambda b: (b.zone == CONTENT) | ~F.coalesce(F.array_contains(F.col("gone"), b.node), F.lit(False)))
+    low = materialise(importance(parsed).filter(F.col("importance") < THRESHOLD).select("host", "node", "feature"), "low-branches")
+    undecided = F.array_distinct(F.transform(F.filter("blocks", lambda b: b.zone == OPEN), lambda b: F.struct(b.node.alias("node"), b.feature.alias("feature"))))
+    asked = parsed.select("row_no", "host", F.explode(undecided).alias("b")).select("row_no", "host", "b.node", "b.feature")
+    gone = asked.join(low, ["host", "node", "feature"]).groupBy("row_no").agg(F.collect_set(F.struct("node", "feature")).alias("gone"))  # of one page
+    listed = lambda b: F.array_contains(F.col("gone"), F.struct(b.node.alias("node"), b.feature.alias("feature")))
+    kept = F.filter("blocks", lambda b: (b.zone == CONTENT) | ~F.coalesce(listed(b), F.lit(False)))
     text = F.array_join(F.transform(kept, lambda b: b.text), "\n\n")
     out = parsed.join(materialise(gone, "gone"), "row_no", "left").select("page_id", "url", text.alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions.text import js_trim
 from ledgerleaf.schemas import (
     CONTENT_TYPES,
     DEFAULT_CONTENT_TYPE,
@@ -34,7 +35,7 @@ def task_rank(task: Column) -> Column:
 
 def controlled_type(document_type: Column) -> Column:
     """Upper-cased, trimmed and checked against the vocabulary; else UNKNOWN."""
-    known = F.upper(F.trim(document_type))
+    known = F.upper(js_trim(document_type))
     return F.when(known.isin(*DOCUMENT_TYPES), known).otherwise(F.lit("UNKNOWN"))
 
 

@@ -46,8 +46,9 @@ def clean_text(raw: Column) -> Column:
     return F.trim(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"), F.lit("\n"))
 
 
-def truncate(text: Column, n: int) -> Column:
-    return F.substring(text, 1, n)
+def truncate(text: Column, n: int | None) -> Column:
+    """The first ``n`` characters; None keeps all."""
+    return text if n is None else F.substring(text, 1, n)
 
 
 def token_estimate(text: Column) -> Column:
@@ -77,7 +78,7 @@ def completion_text(response: Column) -> Column:
 def labelled_row(columns: list[str]) -> Column:
     """``name: value`` pairs joined by a bar; blank and missing values are left out."""
     cells = [
-        F.when(F.trim(F.col(f"`{c}`").cast("string")) != "", F.concat(F.lit(f"{c}: "), F.col(f"`{c}`").cast("string")))
+        F.when(js_trim(F.col(f"`{c}`").cast("string")) != "", F.concat(F.lit(f"{c}: "), F.col(f"`{c}`").cast("string")))
         for c in columns
     ]
     return F.concat_ws(" | ", *cells)

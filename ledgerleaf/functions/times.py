@@ -44,6 +44,9 @@ def boundary_diff(unit: str, start: Column, end: Column) -> Column:
     size = UNIT_SECONDS[unit]
 
     def index(ts: Column) -> Column:
-        return F.unix_seconds(F.date_trunc(unit, ts.cast("timestamp")))
+        # seconds since a fixed day without a time zone: no clock change moves a boundary
+        local = ts.cast("timestamp_ntz")
+        seconds = F.datediff(local.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+        return F.floor((seconds + F.hour(local) * 3600 + F.minute(local) * 60 + F.floor(F.second(local))) / F.lit(size))
 
-    return ((index(end) - index(start)) / F.lit(size)).cast("bigint")
+    return (index(end) - index(start)).cast("bigint")

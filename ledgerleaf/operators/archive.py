@@ -10,7 +10,6 @@ from ledgerleaf.functions.times import older_than, ts_literal
 from ledgerleaf.operators import sizing, state
 
 RETENTION_DAYS = 730
-SUBJECT_CHARS = 100
 
 
 def is_expired(as_of, retention_days: int = RETENTION_DAYS, status: str = "AVAILABLE") -> Column:
@@ -76,7 +75,7 @@ def audit(done: DataFrame, as_of) -> DataFrame:
         "status",
         now.alias("start_ts"),
         now.alias("end_ts"),
-        F.when(F.col("status") == "FAILED", F.substring("error", 1, state.MAX_ERROR)).alias("error_message"),
+        F.when(F.col("status") == "FAILED", F.col("error")).alias("error_message"),
     )
 
 
@@ -96,13 +95,13 @@ def alerts(done: DataFrame, subject_prefix: str = "Document") -> DataFrame:
         F.concat(F.lit("Documents processed: "), F.col("n").cast("string")).alias("message"),
     )
     rows = failures.unionByName(summary)
-    return rows.withColumn("subject", F.substring("subject", 1, SUBJECT_CHARS))
+    return rows
 
 
 def workflow_alert(df: DataFrame, subject_prefix: str = "Document") -> DataFrame:
     """Alert rows for runs that failed as a whole: ``df`` holds (error)."""
     return df.select(
-        F.substring(F.lit(f"{subject_prefix} archive workflow FAILED"), 1, SUBJECT_CHARS).alias("subject"),
+        F.lit(f"{subject_prefix} archive workflow FAILED").alias("subject"),
         F.lit(None).cast("string").alias("file_id"),
         F.concat(F.lit("Error: "), "error").alias("message"),
     )

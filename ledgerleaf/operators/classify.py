@@ -11,8 +11,8 @@ from ledgerleaf.functions.times import ts_literal
 from ledgerleaf.operators import models, state
 from ledgerleaf.schemas import DOCUMENT_TYPES
 
+# Of a document's text, for the prompt of a language model; rules see all of it.
 EXCERPT_CHARS = 1500
-SUMMARY_CHARS = 2000
 
 
 def prompt(file_name: Column, excerpt: Column) -> Column:
@@ -75,7 +75,7 @@ def with_parsed_reply(df: DataFrame, reply: str) -> DataFrame:
             ),
             "doc_summary": F.when(bad, message)
             .when(falsy("summary"), F.lit(""))
-            .otherwise(tx.truncate(text("summary"), SUMMARY_CHARS)),
+            .otherwise(text("summary")),
         }
     ).select(
         *df.columns, "document_type", "classification_confidence", "key_indicators", "doc_summary"
@@ -83,22 +83,28 @@ def with_parsed_reply(df: DataFrame, reply: str) -> DataFrame:
 
 
 def pending(registry: DataFrame, texts: DataFrame, classifications: DataFrame) -> DataFrame:
-    """EMBEDDED documents without a classification, with the start of their text."""
+    """EMBEDDED documents without a classification, with their text and its start."""
     ready = registry.where(F.col("processing_status") == "EMBEDDED").select("file_id", "file_name")
     ready = state.missing_from(ready, classifications, ["file_id"])
-    excerpts = texts.select("file_id", tx.truncate(F.col("extracted_text"), EXCERPT_CHARS).alias("excerpt"))
+    excerpt = tx.truncate(F.col("extracted_text"), EXCERPT_CHARS).alias("excerpt")
+    excerpts = texts.select("file_id", excerpt, "extracted_text")
     return ready.join(excerpts, "file_id")
 
 
 def classify(todo: DataFrame, model: models.CompletionModel | None = None) -> DataFrame:
-    """One row per document: type, confidence, indicators, summary, or an error from the model."""
+    """One row per document: type, confidence, indicators, summary, or an error from the model.
+
+    ``todo`` holds (file_id, file_name, extracted_text). The prompt has the start of the text; the fact ``haystack`` has
+    the file name and the whole text.
+    """
     model = model or models.keyword_classifier()
-    excerpt = F.coalesce("excerpt", F.lit(""))
+    whole = F.coalesce("extracted_text", F.lit(""))
+    excerpt = tx.truncate(whole, EXCERPT_CHARS)
     asked = todo.select(
         "file_id",
         "file_name",
         excerpt.alias("excerpt"),
-        F.lower(F.concat_ws("\n", "file_name", excerpt)).alias("haystack"),
+        F.lower(F.concat_ws("\n", "file_name", whole)).alias("haystack"),
         prompt(F.col("file_name"), excerpt).alias("prompt"),
     )
     facts = F.struct("file_name", "excerpt", "haystack")

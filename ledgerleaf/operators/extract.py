@@ -20,7 +20,8 @@ from ledgerleaf.operators import sizing, state
 
 Extractor = Callable[[bytes], str]
 
-MAX_TEXT = 999_000
+# Longest cell of a CSV file: the parser's own default would refuse cells over 131,072 characters.
+CELL_CHARS = 2**31 - 1
 
 
 def decode(data: bytes) -> str:
@@ -33,6 +34,7 @@ def decode(data: bytes) -> str:
 
 def csv_text(data: bytes) -> str:
     """A header line, then ``name: value`` pairs per row; blank cells are left out, surplus cells are ``_extra``."""
+    csv.field_size_limit(CELL_CHARS)
     rows = csv.reader(io.StringIO(decode(data)))
     header = next(rows, [])
     lines = ["Columns: " + ", ".join(header)]
@@ -138,13 +140,18 @@ def pending(registry: DataFrame, texts: DataFrame, mapping: DataFrame | None = N
 
 
 def extract_text(
-    todo: DataFrame, files: DataFrame, extractors: Mapping[str, Extractor] | None = None, broadcast_rows: int | None = None
+    todo: DataFrame,
+    files: DataFrame,
+    extractors: Mapping[str, Extractor] | None = None,
+    broadcast_rows: int | None = None,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """(file_id, extracted_text, char_count, error), one row per pending document.
 
     ``files`` holds (location, content). The pending side is counted and broadcast when small, so bytes go from the
     scan straight into extraction. A document that cannot be read, or whose file is absent, gets an error and
-    never fails the run. ``extractors`` adds or replaces formats, for example a PDF parser.
+    never fails the run. ``extractors`` adds or replaces formats, for example a PDF parser. Texts are kept whole unless
+    ``max_chars`` cuts them; ``char_count`` is the length before the cut.
     """
     table = {**DEFAULT_EXTRACTORS, **{k.upper(): v for k, v in (extractors or {}).items()}}
 
@@ -160,7 +167,7 @@ def extract_text(
                     errors.append(None)
                 except Exception as problem:  # one bad document must not fail its batch
                     texts.append(None)
-                    errors.append(str(problem)[: state.MAX_ERROR] or type(problem).__name__)
+                    errors.append(str(problem) or type(problem).__name__)
             yield pd.DataFrame({"file_id": batch["file_id"], "raw": texts, "error": errors})
 
     wanted = todo.select("file_id", "file_format", "current_location")
@@ -177,7 +184,7 @@ def extract_text(
     clean = raw.unionByName(absent).withColumn("clean", tx.clean_text(F.col("raw")))
     return clean.select(
         "file_id",
-        tx.truncate(F.col("clean"), MAX_TEXT).alias("extracted_text"),
+        tx.truncate(F.col("clean"), max_chars).alias("extracted_text"),
         F.length("clean").cast("bigint").alias("char_count"),
         "error",
     )

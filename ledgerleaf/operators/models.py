@@ -103,9 +103,9 @@ def words(text: Column) -> Column:
 
 
 def keyword_classifier() -> CompletionModel:
-    """Counts each type's keywords in file name and excerpt; most hits win, vocabulary order settles ties.
+    """Counts each type's keywords in file name and text; most hits win, vocabulary order settles ties.
 
-    Reads the facts ``file_name`` and ``haystack`` (name and excerpt in lower case).
+    Reads the facts ``file_name`` and ``haystack`` (name and whole text in lower case).
     """
 
     def complete(prompt: Column, facts: Column) -> Column:
@@ -155,7 +155,7 @@ def overlap_reranker() -> CompletionModel:
     def complete(prompt: Column, facts: Column) -> Column:
         wanted = words(facts["query"])
         shared = F.transform(
-            facts["candidates"], lambda c: F.size(F.array_intersect(wanted, words(c["excerpt"])))
+            facts["candidates"], lambda c: F.size(F.array_intersect(wanted, words(c["text"])))
         )
         best = F.array_max(shared)
         return F.to_json(

@@ -11,9 +11,8 @@ from ledgerleaf.functions.times import ts_literal
 from ledgerleaf.operators import embed, models, similarity
 from ledgerleaf.session import materialise
 
+# Of a candidate's text, for the prompt of a language model; rules see all of it.
 EXCERPT_CHARS = 800
-REASON_CHARS = 500
-TERM_CHARS = 2000
 
 # Messages that callers match on (fixed values).
 NO_DOCUMENTS = "No documents found for this account."
@@ -85,13 +84,13 @@ def with_parsed_rerank(df: DataFrame, reply: str, count: str) -> DataFrame:
             "confidence": F.when(fallback, F.lit("low"))
             .when(F.col("__confidence_kind").isNull(), F.lit("medium"))
             .otherwise(F.col("__confidence_text")),
-            "reason": F.when(fallback, F.lit(PARSE_FAILED)).otherwise(tx.truncate(reason, REASON_CHARS)),
+            "reason": F.when(fallback, F.lit(PARSE_FAILED)).otherwise(reason),
         }
     ).select(*df.columns, "choice", "confidence", "reason", "fallback")
 
 
 def candidate_lists(top: DataFrame, chunks: DataFrame, query_id: str = "query_id") -> DataFrame:
-    """(query_id, candidates): at most k structs per query in rank order, with excerpts.
+    """(query_id, candidates): at most k structs per query in rank order, with excerpts for a prompt and whole texts.
 
     Text is fetched for the winners only; it takes no part in the similarity search.
     """
@@ -100,9 +99,10 @@ def candidate_lists(top: DataFrame, chunks: DataFrame, query_id: str = "query_id
         "file_id",
         "chunk_index",
         tx.truncate(F.col("chunk_text"), EXCERPT_CHARS).alias("excerpt"),
+        F.col("chunk_text").alias("text"),
     )
     found = top.join(excerpts, ["client_account_id", "file_id", "chunk_index"])
-    listed = F.sort_array(F.collect_list(F.struct("rank", "file_id", "score", "excerpt")))
+    listed = F.sort_array(F.collect_list(F.struct("rank", "file_id", "score", "excerpt", "text")))
     return found.groupBy(query_id).agg(listed.alias("candidates"))
 
 
@@ -125,16 +125,19 @@ def client_search(
     """
     reranker = reranker or models.overlap_reranker()
     if "model_name" in chunks.columns:
-        chunks = chunks.where(F.col("model_name") == embedder.name)
+        refused = F.raise_error(F.concat(F.lit(f"chunk vectors are not of model {embedder.name} but "), F.coalesce("model_name", F.lit("unknown"))))
+        same = F.col("model_name").eqNullSafe(F.lit(embedder.name)) | F.col("embedding").isNull()
+        chunks = chunks.withColumn("embedding", F.when(same, F.col("embedding")).otherwise(refused))
     asked = embed.embed(queries, "query", embedder, into="query_embedding")
     top = similarity.available_top_k(chunks, registry, asked, embedder.width, k)
     lists = candidate_lists(top, chunks)
     listed = queries.select("query_id", "query", "client_account_id").join(lists, "query_id", "left")
 
     has_any = F.col("candidates").isNotNull()
-    prompted = listed.withColumn(
-        "prompt", F.when(has_any, rerank_prompt(F.col("query"), F.col("candidates")))
-    ).withColumn("__raw", reranker.complete(F.col("prompt"), F.struct("query", "candidates")))
+    listed = materialise(listed, "search-candidates")
+    # a query without candidates has nothing to ask the model
+    prompted = listed.where(has_any).withColumn("prompt", rerank_prompt(F.col("query"), F.col("candidates")))
+    prompted = prompted.withColumn("__raw", reranker.complete(F.col("prompt"), F.struct("query", "candidates")))
     reply = models.as_reply(F.col("__raw"), prompted.schema["__raw"].dataType)
     replied = prompted.select(
         "query_id",
@@ -145,6 +148,8 @@ def client_search(
         F.coalesce(reply["reply"], F.lit("")).alias("reply"),
         reply["error"].alias("model_error"),
     )
+    nothing = {"n": F.lit(-1), "reply": F.lit(""), "model_error": F.lit(None).cast("string")}
+    replied = replied.unionByName(listed.where(~has_any).withColumns(nothing))
     failed = F.col("model_error").isNotNull()
     choice = F.when(failed, F.lit(0)).otherwise(F.col("choice"))
     unavailable = F.format_string(UNAVAILABLE, "model_error")
@@ -195,7 +200,7 @@ def audit_rows(results: DataFrame, as_of) -> DataFrame:
     """Search audit rows; a query that found nothing leaves none."""
     return results.where(F.col("error").isNull()).select(
         "client_account_id",
-        tx.truncate(F.col("query"), TERM_CHARS).alias("search_term"),
+        F.col("query").alias("search_term"),
         F.col("file_id").alias("result_file_id"),
         F.col("confidence").alias("search_confidence"),
         "result_count",

@@ -1,20 +1,19 @@
 """Exact tenant-scoped similarity search.
 
+Only chunks of AVAILABLE documents are scored: the ids of those documents, a narrow column whose bytes are counted, are
+broadcast into the scan while they are small and joined by shuffle beyond that. So every search reads the vectors once.
+
 One query vector: a scored scan with Spark's own top-k. A few thousand queries: the queries, counted first, travel to
 the chunks; every task scans its share, keeps the best rows per query and hands on those alone, so vectors are never
-shuffled. More queries than that: chunks and queries of a tenant are cut into blocks of bounded size and every chunk
-block meets every query block once. A tenant with a third of all chunks just has more tasks or more blocks. Work is
-one matrix product per block, and pairs are never materialised.
-
-Whether a document may be shown is looked up for the best candidates only. When too few of a query's candidates are
-available, that query runs again, deeper, until enough are found or its tenant has no more chunks: the result is the
-same as filtering first, without joining vectors to the registry.
+shuffled. More queries than that: the chunks of a tenant are cut into blocks of bounded size, and the queries are copied
+to the blocks; only a tenant with more than ``QUERIES_PER_BLOCK`` queries has its vectors copied, once per that many. A
+tenant with a third of all chunks just has more tasks or more blocks. Work is one matrix product per block and a few
+hundred queries, and pairs are never materialised.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +22,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import sizing
-from ledgerleaf.session import materialise
 
 TOP_K = 5
 SCORE_PLACES = 6
 CHUNK_KEYS = ("file_id", "chunk_index")
 
 CHUNKS_PER_BLOCK = 20_000
-QUERIES_PER_BLOCK = 256
+QUERIES_PER_BLOCK = 8192
 QUERIES_TO_BROADCAST = 2048
-
-# Candidates looked at per wanted result, and how much deeper a query goes when they do not suffice.
-OVERSAMPLE = 16
-DEEPEN = 8
+# Queries of one matrix product, which bounds its memory.
+QUERIES_AT_ONCE = 256
 
 
 def score(embedding: Column, vector: Sequence[float]) -> Column:
@@ -62,6 +58,12 @@ def score(embedding: Column, vector: Sequence[float]) -> Column:
     return F.round(cosine(embedding), SCORE_PLACES)
 
 
+def fitting(embedding: Column, width: int) -> Column:
+    """The vector, null for none; another width means another model and is refused."""
+    refused = F.raise_error(F.lit(f"chunk vector is not {width} wide"))
+    return F.when(embedding.isNull() | (F.size(embedding) == width), embedding).otherwise(refused)
+
+
 def top_k(
     chunks: DataFrame, vector: Sequence[float], k: int = TOP_K, keys: Sequence[str] = CHUNK_KEYS
 ) -> DataFrame:
@@ -69,14 +71,14 @@ def top_k(
 
     Rows without a score sort last and are dropped behind the limit: a test before it would score every row twice.
     """
-    scored = chunks.withColumn("score", score(F.col("embedding"), vector)).drop("embedding")
+    scored = chunks.withColumn("score", score(fitting(F.col("embedding"), len(vector)), vector)).drop("embedding")
     return scored.orderBy(F.desc_nulls_last("score"), *keys).limit(k).where(F.col("score").isNotNull())
 
 
-def _available(candidates: DataFrame, registry: DataFrame, unique: Sequence[str]) -> DataFrame:
-    """Candidates of AVAILABLE documents. The candidates are stored and counted; while few, the registry stays put."""
+def available_chunks(chunks: DataFrame, registry: DataFrame) -> DataFrame:
+    """Chunks of AVAILABLE documents. The ids travel to the vectors while their bytes are few."""
     available = registry.where(F.col("processing_status") == "AVAILABLE").select("file_id")
-    return available.join(sizing.broadcast_if_small(candidates), "file_id").dropDuplicates(list(unique))
+    return chunks.join(sizing.broadcast_if_small(available), "file_id", "left_semi")
 
 
 def tenant_top_k(
@@ -84,40 +86,15 @@ def tenant_top_k(
 ) -> DataFrame:
     """Top-k of one tenant's available chunks; on a table partitioned by client only that partition is read."""
     mine = chunks.where(F.col("client_account_id") == client)
-    depth = k * OVERSAMPLE
-    while True:
-        ranked = materialise(top_k(mine, vector, depth), "tenant-candidates")
-        best = _available(ranked, registry, CHUNK_KEYS).orderBy(F.desc("score"), *CHUNK_KEYS).limit(k)
-        if ranked.count() < depth or best.count() == k:
-            return best
-        depth *= DEEPEN
+    return top_k(available_chunks(mine, registry), vector, k)
 
 
 def available_top_k(
-    chunks: DataFrame,
-    registry: DataFrame,
-    queries: DataFrame,
-    width: int,
-    k: int = TOP_K,
-    oversample: int = OVERSAMPLE,
-    **blocks: int,
+    chunks: DataFrame, registry: DataFrame, queries: DataFrame, width: int, k: int = TOP_K, **blocks: int
 ) -> DataFrame:
     """(query_id, client_account_id, file_id, chunk_index, score, rank): k best available chunks per query."""
-    depth, parts = k * oversample, []
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), *CHUNK_KEYS)
-    while True:
-        ranked = materialise(batch_top_k(chunks, queries, width, depth, **blocks), "search-candidates").drop("rank")
-        live = _available(ranked, registry, ["query_id", *CHUNK_KEYS])
-        best = live.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        best = materialise(best.select("query_id", "client_account_id", *CHUNK_KEYS, "score", "rank"), "search-best")
-        full = ranked.groupBy("query_id").count().where(F.col("count") == depth).select("query_id")
-        served = best.where(F.col("rank") == k).select("query_id")
-        short = full.join(served, "query_id", "left_anti")
-        parts.append(best.join(short, "query_id", "left_anti"))
-        if short.isEmpty():
-            return reduce(DataFrame.unionByName, parts)
-        queries = queries.join(short, "query_id", "left_semi")
-        depth *= DEEPEN
+    best = batch_top_k(available_chunks(chunks, registry), queries, width, k, **blocks)
+    return best.select("query_id", "client_account_id", *CHUNK_KEYS, "score", "rank")
 
 
 def _blocks(df: DataFrame, tenant: str, size: int, name: str) -> DataFrame:
@@ -132,12 +109,18 @@ def _unit_rows(table: pa.Table, column: str) -> np.ndarray:
 
 
 def _best_per_query(corpus: pa.Table, asked: pa.Table, query_id: str, keep: Sequence[str], keys: Sequence[str], k: int) -> pa.Table:
-    """The k best corpus rows for every query: one matrix product, then a cut per query."""
+    """The k best corpus rows for every query, a bounded number of queries at a time."""
+    corpus = corpus.sort_by([(c, "ascending") for c in keys])
+    starts = range(0, max(1, asked.num_rows), QUERIES_AT_ONCE)
+    return pa.concat_tables([_best_of_some(corpus, asked.slice(s, QUERIES_AT_ONCE), query_id, keep, k) for s in starts])
+
+
+def _best_of_some(corpus: pa.Table, asked: pa.Table, query_id: str, keep: Sequence[str], k: int) -> pa.Table:
+    """One matrix product, then a cut per query. The corpus is in key order."""
     fields = [asked.schema.field(query_id), *[corpus.schema.field(c) for c in keep]]
     schema = pa.schema([*fields, pa.field("score", pa.float64())])
     if corpus.num_rows == 0 or asked.num_rows == 0:
         return schema.empty_table()
-    corpus = corpus.sort_by([(c, "ascending") for c in keys])
     scores = np.round(_unit_rows(asked, "query_embedding") @ _unit_rows(corpus, "embedding").T, SCORE_PLACES)
     scores = np.where(np.isnan(scores), -np.inf, scores)
     at = max(corpus.num_rows - k, 0)
@@ -169,12 +152,12 @@ def batch_top_k(
 ) -> DataFrame:
     """(query_id, tenant, *keys, score, rank): the k best chunks per query within the query's tenant.
 
-    ``queries`` holds (query_id, tenant, query_embedding). Chunks of another width belong to another model and are
-    left out; a query of another width is refused.
+    ``queries`` holds (query_id, tenant, query_embedding). Chunks without a vector are left out; a vector of another
+    width, which belongs to another model, is refused on either side, as a search that skips it would be incomplete.
     """
     keys = list(keys)
     keep = [tenant, *keys]
-    usable = chunks.where(F.col("embedding").isNotNull() & (F.size("embedding") == width)).select(*keep, "embedding")
+    usable = chunks.where(F.col("embedding").isNotNull()).select(*keep, fitting(F.col("embedding"), width).alias("embedding"))
     checked = queries.select(
         query_id,
         tenant,
@@ -191,6 +174,7 @@ def batch_top_k(
         grid = _blocks(chunks, tenant, chunks_per_block, "__c").join(
             _blocks(queries, tenant, queries_per_block, "__q"), tenant
         )
+        grid = sizing.broadcast_if_small(grid)  # a row per tenant
         left = usable.join(grid, tenant).select(
             *keep,
             "embedding",

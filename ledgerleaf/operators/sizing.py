@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Counts at most ``max_rows + 1`` rows and the bytes of their values, nested ones as text."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
+    seen = df.limit(max_rows + 1).select(sum(sizes, F.lit(0)).alias("size")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    found = seen.first()
+    return found.n <= max_rows and (found.bytes or 0) <= max_bytes
 
 
 def broadcast_if_small(narrow: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a narrow side for broadcast after counting it; above the bound the join stays a shuffle join.
+    """Marks a narrow side for broadcast after counting its rows and bytes; above the bound the join stays a shuffle join.
 
     Worth its count where the other side carries payloads (document bytes, vectors) that must not be shuffled for
     the sake of a few keys. Elsewhere joins carry no hint: Spark compares measured sizes with its threshold.

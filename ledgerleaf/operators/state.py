@@ -10,31 +10,31 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerleaf.functions.times import ts_literal
 from ledgerleaf.schemas import PROCESSING_AUDIT, VALIDATION_FINAL
 
-MAX_ERROR = 4000
 _NEW = "__new"
 
 
 def pick_per_key(df: DataFrame, keys: Iterable[str], order_by: str, latest: bool = True) -> DataFrame:
     """One row per key, the latest or earliest by ``order_by``.
 
-    An aggregate rather than a window: every task reduces its own rows first, so a key that owns a large share of
-    the table reaches its reducer as one row per task.
+    A rank of which only the first is kept: Spark limits each task to one row per key before the shuffle, so a key that
+    owns a large share of the table reaches its reducer as one row per task, and every row is carried once.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     # The order column leads; the remaining sortable columns settle ties the same way on every run.
     sortable = [c for c in rest if c != order_by and not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
-    rank = F.struct(*[F.col(c) for c in ([order_by] if order_by in rest else []) + sortable]) if rest else F.lit(1)
-    choose = F.max_by if latest else F.min_by
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), rank).alias("__row"))
-    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
+    order = [order_by] * (order_by in rest) + sortable
+    if not order:
+        return df.dropDuplicates(keys)
+    by = Window.partitionBy(*keys).orderBy(*[F.desc(c) if latest else F.asc(c) for c in order])
+    return df.withColumn("__place", F.row_number().over(by)).where("__place = 1").drop("__place")
 
 
 def missing_from(df: DataFrame, done: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -163,7 +163,7 @@ def audit_rows(outcomes: DataFrame, step: str, start, end) -> DataFrame:
         F.when(failed, F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("status"),
         ts_literal(start).alias("start_ts"),
         ts_literal(end).alias("end_ts"),
-        F.substring("error", 1, MAX_ERROR).alias("error_message"),
+        F.col("error").alias("error_message"),
     ).select(*PROCESSING_AUDIT.names)
 
 

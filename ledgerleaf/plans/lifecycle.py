@@ -228,7 +228,7 @@ def extract_transition(t: Tables) -> DataFrame:
     with_tables("registry")
     + f"""SELECT file_id, 'EXTRACT' AS step_name, CASE WHEN file_format = 'TXT' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
   '{AS_OF}.000000' AS start_ts, '{AS_OF}.000000' AS end_ts,
-  CASE WHEN file_format = 'TXT' THEN repeat('no text ', 500) END AS error_message FROM registry""",
+  CASE WHEN file_format = 'TXT' THEN repeat('no text ', 600) END AS error_message FROM registry""",
 )
 def step_audit(t: Tables) -> DataFrame:
     outcomes = t.registry.select(

@@ -34,8 +34,7 @@ def vector_topk(t: Tables) -> DataFrame:
     return top.select("file_id", "chunk_index", "chunk_text", "score")
 
 
-@query(
-    "vector_topk_batch",
+_BATCH_SQL = (
     with_tables(
         "docs",
         "chunks",
@@ -46,16 +45,29 @@ def vector_topk(t: Tables) -> DataFrame:
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, file_id, chunk_index) AS rank FROM pairs)""",
     )
-    + "SELECT * FROM ranked WHERE rank <= 5",
+    + "SELECT * FROM ranked WHERE rank <= 5"
 )
-def vector_topk_batch(t: Tables) -> DataFrame:
-    """Every vector asks its own tenant's available chunks."""
-    queries = t.raw("embeddings").select(
+
+
+def _every_vector(t: Tables) -> DataFrame:
+    return t.raw("embeddings").select(
         F.col("vec_id").alias("query_id"),
         F.concat(F.lit("CLIENT_"), (F.col("label") % 3).cast("string")).alias("client_account_id"),
         F.col("embedding").alias("query_embedding"),
     )
-    return similarity.available_top_k(spread(t.chunks, "file_id"), t.registry, queries, WIDTH)
+
+
+@query("vector_topk_batch", _BATCH_SQL)
+def vector_topk_batch(t: Tables) -> DataFrame:
+    """Every vector asks its own tenant's available chunks."""
+    return similarity.available_top_k(spread(t.chunks, "file_id"), t.registry, _every_vector(t), WIDTH)
+
+
+@query("vector_topk_blocks", _BATCH_SQL)
+def vector_topk_blocks(t: Tables) -> DataFrame:
+    """The same question by blocks, as for more queries than a task should hold."""
+    small = {"queries_to_broadcast": 0, "chunks_per_block": 500, "queries_per_block": 100}
+    return similarity.available_top_k(t.chunks, t.registry, _every_vector(t), WIDTH, **small)
 
 
 EMBED_WIDTH = 256
@@ -84,7 +96,7 @@ words AS (
   SELECT item_id, client, query, list_distinct(regexp_extract_all(lower(query), '[\\p{{L}}\\p{{N}}]+')) AS w FROM asked),
 candidates AS (
   SELECT r.item_id, r.rank, r.file_id, r.score, len(list_intersect(w.w,
-    list_distinct(regexp_extract_all(lower(substr(c.chunk_text, 1, 800)), '[\\p{{L}}\\p{{N}}]+')))) AS shared, len(w.w) AS n
+    list_distinct(regexp_extract_all(lower(c.chunk_text), '[\\p{{L}}\\p{{N}}]+')))) AS shared, len(w.w) AS n
   FROM ranked r JOIN chunk_rows c USING (file_id, chunk_index) JOIN words w USING (item_id) WHERE rank <= 5),
 chosen AS (
   SELECT item_id, arg_max(file_id, shared * 10 - rank) AS file_id, max(shared) AS shared, any_value(n) AS n,
@@ -136,7 +148,7 @@ def client_search(t: Tables) -> DataFrame:
 @query(
     "search_audit_rows",
     _SEARCH
-    + """SELECT a.client AS client_account_id, substr(a.query, 1, 2000) AS search_term, ch.file_id AS result_file_id,
+    + """SELECT a.client AS client_account_id, a.query AS search_term, ch.file_id AS result_file_id,
   CASE WHEN shared * 2 >= n THEN 'high' WHEN shared > 0 THEN 'medium' ELSE 'low' END AS search_confidence, result_count
 FROM asked a JOIN chosen ch USING (item_id)""",
 )

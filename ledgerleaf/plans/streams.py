@@ -110,7 +110,7 @@ def chain_stream_audit(t: Tables) -> DataFrame:
     _CHAIN
     + f""", texts AS (SELECT file_id, file_name, text FROM routed JOIN documents USING (doc_id)
   WHERE moves AND file_format = 'TXT'),
-scored AS ({sql_classified("texts", "file_name", "substr(text, 1, 1500)")})
+scored AS ({sql_classified("texts", "file_name", "text")})
 SELECT best.type AS document_type, CASE WHEN len(best.hits) >= 2 THEN 'high' WHEN len(best.hits) = 1 THEN 'medium'
     ELSE 'low' END AS classification_confidence, 'keyword-rules' AS model_name, count(*) AS file_count
 FROM scored GROUP BY ALL""",

@@ -115,7 +115,7 @@ def pending_chunk(t: Tables) -> DataFrame:
 WHERE processing_status = 'EMBEDDED' AND NOT EXISTS (SELECT 1 FROM classifications c WHERE c.file_id = r.file_id)""",
 )
 def pending_classify(t: Tables) -> DataFrame:
-    return classify.pending(t.registry, t.texts, t.classifications)
+    return classify.pending(t.registry, t.texts, t.classifications).drop("extracted_text")
 
 
 # Paragraph breaks are made by doubling some line ends, so that all branches of the chunker run.
@@ -235,7 +235,7 @@ def sql_classified(source: str, name: str, excerpt: str) -> str:
 
 @query(
     "classify_rules",
-    with_tables("docs", also=f"""scored AS ({sql_classified("docs", "file_name", "substr(text, 1, 1500)")})""")
+    with_tables("docs", also=f"""scored AS ({sql_classified("docs", "file_name", "text")})""")
     + """SELECT file_id, best.type AS document_type, CASE WHEN len(best.hits) >= 2 THEN 'high'
     WHEN len(best.hits) = 1 THEN 'medium' ELSE 'low' END AS classification_confidence,
   CASE WHEN len(best.hits) = 0 THEN '[]' ELSE
@@ -244,7 +244,7 @@ def sql_classified(source: str, name: str, excerpt: str) -> str:
 FROM scored""",
 )
 def classify_rules(t: Tables) -> DataFrame:
-    todo = t.heavy_docs.select("file_id", "file_name", F.substring("text", 1, 1500).alias("excerpt"))
+    todo = t.heavy_docs.select("file_id", "file_name", F.col("text").alias("extracted_text"))
     return classify.classify(todo).drop("error")
 
 
@@ -290,7 +290,7 @@ _RERANK_REPLIES = (
   SELECT event_id, event_id % {len(_RERANK_REPLIES)} AS shape, repeat(event_type, 120) AS r FROM events)
 SELECT event_id, CAST(CASE shape WHEN 0 THEN 1 WHEN 2 THEN 4 WHEN 3 THEN 2 WHEN 4 THEN 1 ELSE 0 END AS BIGINT) AS choice,
   CASE WHEN shape IN (0, 4, 8) THEN 'high' WHEN shape IN (2, 3, 7) THEN 'medium' ELSE 'low' END AS confidence,
-  CASE WHEN shape IN (5, 6, 9) THEN '{search.PARSE_FAILED}' WHEN shape = 3 THEN '' ELSE substr(r, 1, 500) END AS reason,
+  CASE WHEN shape IN (5, 6, 9) THEN '{search.PARSE_FAILED}' WHEN shape = 3 THEN '' ELSE r END AS reason,
   shape IN (5, 6, 9) AS fallback
 FROM replies""",
 )
@@ -332,7 +332,7 @@ _CLASS_REPLIES = (
 SELECT event_id, CASE shape WHEN 0 THEN 'TAX_PROFILE' WHEN 1 THEN 'INCOME_REPORT' ELSE 'UNKNOWN' END AS document_type,
   CASE shape WHEN 0 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS classification_confidence,
   CASE shape WHEN 0 THEN '["' || k || '","b"]' ELSE '[]' END AS key_indicators,
-  CASE WHEN shape IN (0, 1, 3) THEN substr(s, 1, 2000) WHEN shape = 5 THEN 'Parse error: reply is not valid JSON'
+  CASE WHEN shape IN (0, 1, 3) THEN s WHEN shape = 5 THEN 'Parse error: reply is not valid JSON'
     WHEN shape IN (4, 6) THEN 'Parse error: unexpected JSON shape' ELSE '' END AS doc_summary
 FROM replies""",
 )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +15,20 @@ from ledgerleaf.operators import state
 logger = logging.getLogger(__name__)
 
 
-def append_audit(rows: DataFrame, path: str, ts: str = "start_ts") -> None:
-    """Appends audit rows, one folder per day."""
-    rows.withColumn("audit_date", F.to_date(ts)).write.mode("append").partitionBy("audit_date").parquet(path)
+def within_limits(rows: DataFrame, limits: Mapping[str, int] | None) -> DataFrame:
+    """Cuts text columns for a store with limited column widths; without limits the full values are kept."""
+    return rows.withColumns({c: F.substring(c, 1, n) for c, n in (limits or {}).items() if c in rows.columns})
 
 
-def append_search_audit(rows: DataFrame, path: str) -> bool:
+def append_audit(rows: DataFrame, path: str, ts: str = "start_ts", limits: Mapping[str, int] | None = None) -> None:
+    """Appends audit rows, one folder per day. ``limits`` gives characters by column, for example error_message."""
+    within_limits(rows, limits).withColumn("audit_date", F.to_date(ts)).write.mode("append").partitionBy("audit_date").parquet(path)
+
+
+def append_search_audit(rows: DataFrame, path: str, limits: Mapping[str, int] | None = None) -> bool:
     """Appends search audit rows; a failure is logged and never fails the search."""
     try:
-        append_audit(rows, path, "search_ts")
+        append_audit(rows, path, "search_ts", limits)
         return True
     except Exception:  # the answer matters more than its record
         logger.exception("search audit not written")
@@ -55,8 +60,9 @@ def write_archive(payload: DataFrame, path: str) -> None:
     payload.write.mode("append").partitionBy("account_id").parquet(path)
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    alerts.write.mode("append").parquet(path)
+def write_alerts(alerts: DataFrame, path: str, limits: Mapping[str, int] | None = None) -> None:
+    """Appends alert rows; ``limits`` gives characters by column, for example subject."""
+    within_limits(alerts, limits).write.mode("append").parquet(path)
 
 
 @dataclass(frozen=True)

@@ -22,8 +22,6 @@ def corpus(spark):
             vector = None
         elif i % 50 == 4:
             vector = [0.0] * WIDTH
-        elif i % 50 == 5:
-            vector = [1.0] * (WIDTH + 1)
         rows.append((f"f{i % 90}", client, i // 90, f"text {i}", vector))
     chunks = spark.createDataFrame(
         rows, "file_id string, client_account_id string, chunk_index int, chunk_text string, embedding array<float>"
@@ -62,7 +60,7 @@ def test_batch_equals_brute_force(spark, corpus, chunk_block, query_block, scan)
     asked = [(i, ("hot", "cold0", "cold1", "nobody")[i % 4], [float(x) for x in rng.integers(-2, 3, WIDTH)]) for i in range(24)]
     queries = spark.createDataFrame(asked, "query_id int, client_account_id string, query_embedding array<float>")
     top = similarity.available_top_k(
-        chunks, registry, queries, WIDTH, 7, oversample=1,
+        chunks, registry, queries, WIDTH, 7,
         chunks_per_block=chunk_block, queries_per_block=query_block, queries_to_broadcast=scan,
     )
     got = {}
@@ -77,6 +75,17 @@ def test_wrong_width_is_refused(spark, corpus):
     queries = spark.createDataFrame([(1, "hot", [1.0, 2.0])], "query_id int, client_account_id string, query_embedding array<float>")
     with pytest.raises(Exception, match="not 8 wide"):
         similarity.batch_top_k(chunks, queries, WIDTH).collect()
+    odd = chunks.withColumn("embedding", F.when(F.col("chunk_index") == 1, F.array(F.lit(1.0).cast("float"))).otherwise(F.col("embedding")))
+    with pytest.raises(Exception, match="chunk vector is not 8 wide"):
+        similarity.tenant_top_k(odd, registry, "hot", [1.0] * WIDTH).collect()
+
+
+def test_a_tenant_without_available_documents_is_scanned_once(spark, corpus):
+    _, chunks, registry = corpus
+    archived = registry.withColumn("processing_status", F.lit("ARCHIVED"))
+    assert similarity.tenant_top_k(chunks, archived, "hot", [1.0] * WIDTH).count() == 0
+    queries = spark.createDataFrame([(1, "hot", [1.0] * WIDTH)], "query_id int, client_account_id string, query_embedding array<float>")
+    assert similarity.available_top_k(chunks, archived, queries, WIDTH).count() == 0
 
 
 @pytest.mark.parametrize(
@@ -92,7 +101,7 @@ def test_wrong_width_is_refused(spark, corpus):
         ('{"best_candidate_index": true, "reason": null}', (0, "medium", "None", False)),
         ('{"best_candidate_index": null}', (0, "low", search.PARSE_FAILED, True)),
         ('{"confidence": null, "reason": 5}', (0, None, "5", False)),
-        ('{"reason": "%s"}' % ("r" * 1000), (0, "medium", "r" * 500, False)),
+        ('{"reason": "%s"}' % ("r" * 1000), (0, "medium", "r" * 1000, False)),
         ("I think the first one.", (0, "low", search.PARSE_FAILED, True)),
         ("[2]", (0, "low", search.PARSE_FAILED, True)),
         ("", (0, "low", search.PARSE_FAILED, True)),
@@ -163,10 +172,10 @@ def test_search_survives_its_model(spark):
         assert rows[0].file_id == ("1" if fn is down else "2")
 
 
-def test_other_models_vectors_are_left_out(spark):
+def test_other_models_vectors_are_refused(spark):
     queries, chunks, registry, classes = search_tables(spark, models.hashing_embedder(64))
-    rows = search.client_search(queries, chunks.withColumn("model_name", F.lit("older")), registry, classes, models.hashing_embedder(64))
-    assert {r.error for r in rows.collect()} == {search.NO_DOCUMENTS}
+    with pytest.raises(Exception, match="not of model hashing-64 but older"):
+        search.client_search(queries, chunks.withColumn("model_name", F.lit("older")), registry, classes, models.hashing_embedder(64)).collect()
 
 
 def test_views_show_own_rows_once(spark):

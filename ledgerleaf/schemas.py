@@ -21,6 +21,7 @@ def _table(*cols: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in cols])
 
 
+# Column names of tables and reports are fixed values.
 DOCUMENT_REGISTRY = _table(
     ("file_id", _S),
     ("file_name", _S),
@@ -148,7 +149,7 @@ CUSTODY_REPORTS: dict[str, tuple[str, ...]] = {
 }
 
 # ---------------------------------------------------------------------------
-# Status lifecycle
+# Status lifecycle (fixed values: the statuses and their sets)
 # ---------------------------------------------------------------------------
 SUPPORTED_FORMATS = ("PDF", "XLSX", "CSV")
 
@@ -167,7 +168,7 @@ STATUS_ORDER = ("RECEIVED", "VALIDATED", "STAGED", "TEXT_EXTRACTED", "EMBEDDED",
 TASK_ORDER = ("ROUTING_TASK", "EXTRACT_TASK", "EMBED_TASK", "CLASSIFY_TASK")
 
 # ---------------------------------------------------------------------------
-# Document types (fixed values): name -> (description, keywords of the stand-in classifier)
+# Document types: name (fixed value) -> (description and keywords of the stand-in classifier, free)
 # ---------------------------------------------------------------------------
 DOCUMENT_TYPES: dict[str, tuple[str, tuple[str, ...]]] = {
     "CUSTODY_BILLING_INVOICE": (

@@ -40,7 +40,7 @@ MAGIC = b"LLTOK1\0\0"
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 64_000
 DICTIONARY_BYTES = 64 * 1024
-LEVEL = 3
+LEVEL = 1
 #: Compressed bytes of a file, about.
 FILE_BYTES = 64 << 20
 
@@ -63,17 +63,14 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
 
 
 def _samples(documents: DataFrame, text_col: str, path: str, end_id: int) -> list[bytes]:
-    text = text_of(F.col(text_col))
-    rows = (
-        documents.select(text.alias("text"))
-        .filter(F.octet_length("text") <= SAMPLE_BYTES)
-        .withColumn("h", F.xxhash64("text"))
-        .orderBy("h")
-        .limit(SAMPLE_ROWS)
-        .select("text")
-    )
-    # bounded: SAMPLE_ROWS texts of at most SAMPLE_BYTES each
-    texts = [r.text for r in rows.collect()]
+    hashed = F.xxhash64("text")
+    texts = documents.select(text_of(F.col(text_col)).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
+    least = texts.select(hashed.alias("h")).distinct().orderBy("h").limit(SAMPLE_ROWS).agg(F.max("h")).first()[0]
+    if least is None:
+        return []
+    # bounded: SAMPLE_ROWS hashes, one text of at most SAMPLE_BYTES each
+    rows = texts.filter(hashed <= least).groupBy(hashed.alias("h")).agg(F.min("text").alias("text"))
+    texts = [r.text for r in rows.orderBy("h").collect()]
     tail = np.array([end_id], dtype="<u2").tobytes()
     return [ids + tail for ids in encoder(path).encode(texts)]
 

@@ -16,15 +16,16 @@ from itertools import chain
 
 import numpy as np
 
-#: Entries of a worker's cache, about 250 bytes each; a full cache starts anew.
+#: Entries of a worker's cache, about 250 bytes each; beyond them the cache starts anew.
 CACHE_WORDS = 500_000
 #: Characters encoded at a time: bounds the word lists of very long texts.
 BLOCK_CHARS = 4_000_000
 
-_ODD_BYTE = re.compile(r"<\||\s\s|\A\s|\s\Z|[^\S \n]")
 #: Letters and marks of which every version of Unicode knows the kind; U+0130 is left out, as its lower case is two.
 _LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+", r"[!-/:-@\[-`{-~]*"
-_ODD_WORD = re.compile("<\\||[\x1c-\x1f\x85]")
+_SIMPLE = re.compile(f"({_LETTERS})({_MARKS})\\Z").match
+#: White space to Python that the tokenizers' patterns may take for something else.
+_ODD = re.compile("[\x1c-\x1f\x85]")
 
 
 def vocabulary(name: str) -> str:
@@ -52,9 +53,12 @@ class Encoder:
             raise ValueError("ids need more than 16 bits")
         self.spaced = self._ids("a b") != self._ids("a") + self._ids("b")
         self.cache_words = cache_words
+        #: By word: with the space before it if the vocabulary has such tokens; and without.
+        self.lead = " " if self.spaced else ""
         self.known: dict[str, bytes] = {}
+        self.bare = {} if self.spaced else self.known
+        self.newline = self._ids("\n")
         self.folds = self._ids("Aa") == self._ids("aa")
-        self._simple = re.compile(("( " if self.spaced else "(") + _LETTERS + ")(" + _MARKS + r")\Z").match
         size = max(self.tokenizer.get_vocab().values()) + 1
         self.edge = np.zeros(size, dtype=bool)
         for token, at in self.tokenizer.get_vocab().items():
@@ -63,28 +67,27 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
+    def _encode_each(self, words: list[str], lead: str, into: dict[str, bytes]) -> None:
+        for at in range(0, len(words), 2000):
+            batch = words[at : at + 2000]
+            found = self.tokenizer.encode_batch_fast([lead + w for w in batch], add_special_tokens=False)
+            into.update((w, np.array(got.ids, dtype="<u2").tobytes()) for w, got in zip(batch, found))
+
     def _learn(self, words: set[str]) -> None:
         """Ids of unknown words: a run of letters and what punctuation follows it are encoded apart, as the pattern does."""
-        if len(self.known) + len(words) > self.cache_words:
-            self.known.clear()
-        parts = {w: (m[1].lower() if self.folds and m[1].isascii() else m[1], m[2]) for w in words if (m := self._simple(w))}
+        parts = {w: (m[1].lower() if self.folds and m[1].isascii() else m[1], m[2]) for w in words if (m := _SIMPLE(w))}
         self._learn_letters({stem for stem, _ in parts.values()}.difference(self.known))
-        rest = (words - parts.keys()) | {tail for _, tail in parts.values() if tail}
-        rest = list(rest.difference(self.known))
-        for at in range(0, len(rest), 2000):
-            batch = rest[at : at + 2000]
-            for word, got in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, dtype="<u2").tobytes()
+        self._encode_each(list({tail for _, tail in parts.values() if tail}.difference(self.bare)), "", self.bare)
+        self._encode_each(list((words - parts.keys()).difference(self.known)), self.lead, self.known)
         for word, (stem, tail) in parts.items():
-            self.known[word] = self.known[stem] + self.known[tail] if tail else self.known[stem]
+            self.known[word] = self.known[stem] + self.bare[tail] if tail else self.known[stem]
 
     def _learn_letters(self, stems: set[str]) -> None:
         """Many runs of letters in one text: every run starts, or ends, with a token that no other place has."""
         todo = list(stems)
         for at in range(0, len(todo), 1000):
             batch = todo[at : at + 1000]
-            text = "".join(batch) if self.spaced else " ".join(batch)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+            ids = np.array(self.tokenizer.encode(self.lead + " ".join(batch), add_special_tokens=False).ids, dtype="<u2")
             edges = np.flatnonzero(self.edge[ids])
             ends = np.append(edges[1:], len(ids)) if self.spaced else edges + 1
             if len(ends) == len(batch):
@@ -93,33 +96,31 @@ class Encoder:
                     self.known[stem] = data[begin:end]
                     begin = end
             else:
-                self.known.update((stem, self._ids(stem)) for stem in batch)
+                self.known.update((stem, self._ids(self.lead + stem)) for stem in batch)
 
-    def _words(self, text: str) -> list[str] | None:
-        """The text in pieces that can be encoded one by one; None if it has to be encoded as a whole."""
-        if not self.spaced:
-            return None if _ODD_WORD.search(text) else text.split()
-        if _ODD_BYTE.search(text):
-            return None
-        lines = text.split("\n")
-        words = lines[0].replace(" ", "\0 ").split("\0") if "\0" not in text else None
-        if words is None:
+    def _lines(self, text: str) -> list[list[str]] | None:
+        """The words of each line, which can be encoded one by one; None if the text has to be encoded as a whole."""
+        if "<|" in text:  # may spell a special token
             return None
-        for line in lines[1:]:
-            words.append("\n")
-            words += line.replace(" ", "\0 ").split("\0")
-        return words
+        words = text.split()
+        if not self.spaced:
+            return None if _ODD.search(text) else [words]
+        lines = [line.split(" ") for line in text.split("\n")]
+        # single spaces and line ends between words, and no other white space
+        return lines if [w for line in lines for w in line] == words else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        group: list[tuple[int, list[str]]] = []
+        group: list[tuple[int, list[list[str]]]] = []
         held = 0
         for i, text in enumerate(texts):
-            words = self._words(text) if text else []
-            if words is None:
+            if not text:
+                continue
+            lines = self._lines(text)
+            if lines is None:
                 out[i] = self._ids(text)
                 continue
-            group.append((i, words))
+            group.append((i, lines))
             held += len(text)
             if held > BLOCK_CHARS:
                 self._finish(group, out)
@@ -127,16 +128,22 @@ class Encoder:
         self._finish(group, out)
         return out
 
-    def _finish(self, group: list[tuple[int, list[str]]], out: list[bytes]) -> None:
-        wanted = set(chain.from_iterable(words for _, words in group))
-        unknown = wanted.difference(self.known)
-        if len(self.known) + len(unknown) > self.cache_words:
-            unknown = wanted
-        if unknown:
-            self._learn(unknown)
+    def _finish(self, group: list[tuple[int, list[list[str]]]], out: list[bytes]) -> None:
+        # a line's first word has no space before it
+        skip = 1 if self.spaced else 0
+        wanted = set(chain.from_iterable(line[skip:] for _, lines in group for line in lines))
+        first = {line[0] for _, lines in group for line in lines} if skip else set()
+        if len(self.known) + len(self.bare) > self.cache_words:
+            self.known.clear()
+            self.bare.clear()
+        self._learn(wanted.difference(self.known))
+        self._encode_each(list(first.difference(self.bare)), "", self.bare)
         look = self.known.__getitem__
-        for i, words in group:
-            out[i] = b"".join(map(look, words))
+        for i, lines in group:
+            if skip:
+                out[i] = self.newline.join([self.bare[line[0]] + b"".join(map(look, line[1:])) for line in lines])
+            else:
+                out[i] = b"".join(map(look, lines[0]))
 
 
 @lru_cache(maxsize=4)

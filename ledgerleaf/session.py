@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +39,15 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerleaf-"))
-    return context.getCheckpointDir()
+    return _own_dir(context.applicationId)
+
+
+@lru_cache
+def _own_dir(application: str) -> str:
+    """One folder per application; the session's own checkpoint folder is left alone."""
+    return tempfile.mkdtemp(prefix="ledgerleaf-")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.session import materialise
+from ledgerleaf.session import materialise, new_path
 
 #: The white space of the contracts, `[\x20\x09-\x0D]`.
 WHITE_SPACE = " \t\n\x0b\f\r"
@@ -36,6 +36,13 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def packed(df: DataFrame, label: str) -> DataFrame:
+    """``materialise`` with a stronger compression, for tables of long digests."""
+    path = new_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ranked(df: DataFrame, *order: Column, rank: str = "rank") -> DataFrame:
     """Adds the place (from 0) in a total order of all rows without sorting them in one task.
 

@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -31,8 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import text_of
-from ledgerleaf.session import materialise
+from ledgerleaf.llm.common import packed, text_of
 
 #: The band: shares of the documents that a term occurs in.
 LOW, HIGH = 5e-4, 0.1
@@ -41,7 +41,9 @@ LEVELS = 3
 LEAST_TERMS = 8
 SEED = 42
 #: Hashes held before counts are handed on.
-FLUSH = 1_000_000
+FLUSH = 4_000_000
+#: Words of which a worker keeps the place in the lexicon, about 150 bytes each; beyond them it starts anew.
+KNOWN_WORDS = 400_000
 _WORD = re.compile(r"\w+")
 
 
@@ -52,11 +54,18 @@ class Lexicon(NamedTuple):
     above: np.ndarray
 
 
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def words_of(text: str) -> set[str]:
+    return set(_WORD.findall(text.lower()))
+
+
 def terms(text: str) -> np.ndarray:
     """Sorted hashes of the distinct terms."""
-    words = set(_WORD.findall(text.lower()))
-    encoded = (w.encode("utf-8", "surrogatepass") for w in words)
-    found = np.fromiter(map(xxhash.xxh64_intdigest, encoded), dtype=np.uint64, count=len(words))
+    words = words_of(text)
+    found = np.fromiter(map(_hash, words), dtype=np.uint64, count=len(words))
     found.sort()
     return found
 
@@ -72,31 +81,73 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 _FACTORS = np.random.default_rng(SEED).integers(1 << 62, dtype=np.uint64, size=SUBSETS) * np.uint64(2) + np.uint64(1)
 
 
-def _draws(found: np.ndarray, subset: int) -> np.ndarray:
-    """A seeded 64-bit number for each term; the term is in the subset at a level if the top bits up to it are zero."""
-    mixed = found * _FACTORS[subset]
+def levels_of(found: np.ndarray) -> np.ndarray:
+    """For each term and subset, the highest level at which the term is in the subset: leading zeros of a seeded hash."""
+    mixed = found[:, None] * _FACTORS
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a common 64-bit mixing constant
-    return mixed ^ (mixed >> np.uint64(32))
+    mixed ^= mixed >> np.uint64(32)
+    levels = np.zeros(mixed.shape, dtype=np.uint8)
+    for level in range(1, 41):
+        levels += mixed < np.uint64(1 << (64 - level))
+    return levels
+
+
+class Printer:
+    """Fingerprints of texts by one lexicon. Levels are drawn once for every term of the band."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
+        self.levels = np.concatenate([levels_of(lexicon.band[at : at + 20_000]) for at in range(0, max(1, len(lexicon.band)), 20_000)])
+        self.places: dict[str, int] = {}
+
+    def _place(self, words: set[str]) -> list[int]:
+        """Places in the band of the words that are in it."""
+        places = self.places
+        new = [w for w in words if w not in places]
+        if new:
+            if len(places) + len(new) > KNOWN_WORDS:
+                places.clear()
+                new = list(words)
+            hashes = np.fromiter(map(_hash, new), dtype=np.uint64, count=len(new))
+            at = np.searchsorted(self.lexicon.band, hashes)
+            found = _among(hashes, self.lexicon.band)
+            places.update(zip(new, np.where(found, at, -1).tolist()))
+        return [p for p in map(places.__getitem__, words) if p >= 0]
+
+    def __call__(self, text: str) -> str:
+        """Three hexadecimal digits for each level and subset after the lowest level; 000 for a subset that met no term."""
+        words = words_of(text)
+        places = self._place(words)
+        if len(places) >= LEAST_TERMS:
+            places.sort()  # by hash, as the band is
+            found, levels = self.lexicon.band[places], self.levels[places]
+        else:
+            every = terms(text)
+            found = every[~_among(every, self.lexicon.above)]
+            found = found if len(found) else every
+            levels = levels_of(found)
+        if not len(found):
+            return "0"
+        level = len(found).bit_length()
+        rows, subsets = np.nonzero(levels >= level)
+        hashes = [0] * (LEVELS * SUBSETS)
+        met = levels[rows, subsets].tolist()
+        for term, subset, highest in zip(found[rows].tolist(), subsets.tolist(), met):
+            for step in range(min(LEVELS, highest - level + 1)):
+                at = step * SUBSETS + subset
+                hashes[at] = ((hashes[at] ^ term) * 0x9E3779B97F4A7C15 + 1) & 0xFFFFFFFFFFFFFFFF  # fixed value: a common multiplier
+        return f"{level:02x}" + "".join([f"{(h >> 20) % 4095 + 1:03x}" if h else "000" for h in hashes])
+
+
+@lru_cache(maxsize=2)
+def _printer(shared) -> Printer:
+    """One per worker process."""
+    return Printer(shared.value)
 
 
 def fingerprint(text: str, lexicon: Lexicon) -> str:
-    """Three hexadecimal digits for each subset and level after the lower level; 000 for a subset that met no term."""
-    every = terms(text)
-    found = every[_among(every, lexicon.band)]
-    if len(found) < LEAST_TERMS:
-        found = every[~_among(every, lexicon.above)]
-        found = found if len(found) else every
-    if not len(found):
-        return "0"
-    level = len(found).bit_length()
-    parts = []
-    for at in range(level, level + LEVELS):
-        bound = np.uint64(((1 << 64) >> at) - 1)
-        for subset in range(SUBSETS):
-            members = found[_draws(found, subset) <= bound]
-            parts.append(f"{xxhash.xxh64_intdigest(members.tobytes()) % 4095 + 1:03x}" if len(members) else "000")
-    return f"{level:02x}{''.join(parts)}"
+    return Printer(lexicon)(text)
 
 
 def likeness(a: str, b: str) -> float:
@@ -158,9 +209,9 @@ _COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerp
 _KINDS = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
 
 
-def _compared(doc_id, text: str, own: str, following: str, following_print: str, words: Lexicon) -> tuple:
+def _compared(doc_id, text: str, own: str, following: str, following_print: str, printed: Callable[[str], str]) -> tuple:
     changed = edited(text, following)
-    changed_print = own if changed == text else fingerprint(changed, words)
+    changed_print = own if changed == text else printed(changed)
     digest = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
     return doc_id, len(text), digest, own, changed_print, likeness(own, changed_print), likeness(own, following_print)
 
@@ -178,7 +229,7 @@ def _in_order(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, words, last = TaskContext.get().partitionId(), shared.value, None
+        part, printed, last = TaskContext.get().partitionId(), _printer(shared), None
         ends: list[tuple] = []
 
         def out(rows: list[tuple], kinds: list[str], texts: list[str | None]) -> pa.RecordBatch:
@@ -190,11 +241,11 @@ def _in_order(shared):
                 rows = []
                 piece = batch.slice(at, 500)
                 for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
-                    now = (doc_id, text, fingerprint(text, words))
+                    now = (doc_id, text, printed(text))
                     if last is None:
                         ends.append(now)
                     else:
-                        rows.append(_compared(*last, now[1], now[2], words))
+                        rows.append(_compared(*last, now[1], now[2], printed))
                     last = now
                 if rows:
                     yield out(rows, ["done"] * len(rows), [None] * len(rows))
@@ -210,7 +261,7 @@ def _across(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.select(["doc_id", "text", "fingerprint", "next_text", "next_fingerprint"]).to_pylist()
-            yield _rows([_compared(*r.values(), shared.value) for r in rows])
+            yield _rows([_compared(*r.values(), _printer(shared)) for r in rows])
 
     return run
 
@@ -223,7 +274,7 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     order = [F.desc_nulls_last("doc_id"), F.asc("tie")]
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    found = materialise(placed.mapInArrow(_in_order(shared), f"{_ROW}, part int, kind string, text string"), "imatch")
+    found = packed(placed.mapInArrow(_in_order(shared), f"{_ROW}, part int, kind string, text string"), "imatch")
     done = found.filter("kind = 'done'").select(_COLUMNS)
     # one row per partition from here on
     parts = found.filter("kind = 'first'").select("part")

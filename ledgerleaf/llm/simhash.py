@@ -142,7 +142,11 @@ def representatives(documents: DataFrame, id_col: str = "doc_id", text_col: str
     # one row per fingerprint before components meet: most of a large component is folded where it lies
     classes = rows.groupBy("fp").agg(best).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     kept = classes.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.doc_id", "best.row_hash")
-    kept = materialise(kept, "kept")
+    return staying(row, doc_id, row_hash, rows, materialise(kept, "kept"))
+
+
+def staying(row: DataFrame, doc_id: Column, row_hash: Column, rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows that ``kept`` (doc_id, row_hash) names, one each. ``rows`` has the doc_id and row_hash of every row."""
     marked = row.withColumn("keep_id", doc_id).withColumn("keep_hash", row_hash)
     match = F.col("keep_id").eqNullSafe(F.col("doc_id")) & (F.col("keep_hash") == F.col("row_hash"))
     stays = marked.join(kept, match, "left_semi")

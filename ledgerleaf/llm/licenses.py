@@ -9,6 +9,13 @@ expressions over the rows where they lie; the templates are a constant table tha
 Units are the lines of a text, its paragraphs (between blank lines) of several lines, and the whole text if it has
 several paragraphs. Each unit that reaches the threshold gives a row with its best template, the first name in a tie.
 
+A notice that does not fill its unit is found by windows over the words of the whole text, whatever lines it runs
+through: kind ``window``, with the number of the window's first word as ``unit_no``. Windows start and end with bigrams of
+their template and have the sizes that can reach the threshold; those that do are taken best first, and no two that are
+taken overlap. What units have found is not told twice: windows inside a unit found, or of its license and overlapping
+it, are left out. A template needs two thirds of its bigrams (at 0.8), so some words of it cannot all be missing; texts
+without any such word have no window and are left after one look.
+
 Defined cases. A null text counts as empty and matches nothing; units without a bigram match nothing. Texts of any
 length are scanned whole. Repeated rows give repeated results; null ids are carried along. An empty table gives an empty
 result. Other columns are ignored.
@@ -18,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,10 +108,9 @@ def _by_size(spark: SparkSession, templates: dict[str, str], threshold: float) -
     return flat.groupBy("size").agg(F.collect_list(F.struct("name", "grams", "own")).alias("near"))
 
 
-def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, kind, unit_no, license and dice of every unit that a template matches."""
-    known = materialise(_by_size(documents.sparkSession, templates, threshold), "templates")
-    normal = documents.select(F.col(id_col).alias("doc_id"), F.regexp_replace(F.lower(text_of(F.col(text_col))), r"[^\p{L}\p{N}\n]+", " ").alias("text"))
+def _scan_units(normal: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """The units of (doc_id, text) that a template matches."""
+    known = materialise(_by_size(normal.sparkSession, templates, threshold), "templates")
     units = normal.select("doc_id", F.explode(_units(F.col("text"))).alias("u")).select("doc_id", "u.kind", "u.unit_no", "u.text")
     words = F.split(F.trim(F.regexp_replace("text", "[ \n]+", " ")), " ")
     sized = units.select("doc_id", "kind", "unit_no", words.alias("words")).withColumn("size", F.size("words") - 1)
@@ -120,8 +127,95 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     return best.select("doc_id", "kind", "unit_no", "best.license", (-F.col("best.minus")).alias("dice")).filter(F.col("dice") >= threshold)
 
 
+def needed(words: list[str], threshold: float) -> tuple[int, list[str]]:
+    """How many bigrams a window must share with a template, and words of which it cannot lack all, long ones first."""
+    size = len(words) - 1
+    low = math.ceil(size * threshold / (2 - threshold) - 1e-9)
+    least = max(1, math.ceil(threshold * (low + size) / 2 - 1e-9))
+    lost, anchors = set(), []
+    for word in sorted(set(words), key=lambda w: (-len(w), w)):
+        if size - len(lost) < least:
+            break
+        anchors.append(word)
+        lost |= {k for at, w in enumerate(words) if w == word for k in (at - 1, at) if 0 <= k < size}
+    return least, anchors
+
+
+def _windows(normal: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """The windows that a template matches and no unit has told of."""
+    spark, quote = normal.sparkSession, lambda s: "'" + s.replace("'", "\\'") + "'"
+    listed = lambda strings: f"array({', '.join(map(quote, strings))})"
+    rows, anchors = [], set()
+    for t in compiled(templates, threshold):
+        if t["grams"]:
+            least, own = needed(words_of(templates[t["name"]]), threshold)
+            anchors |= set(own)
+            rows.append(f"({quote(t['name'])}, {listed(t['grams'])}, {listed(own)}, {t['size']}, {max(t['low'], 1)}, {t['high']}, {least})")
+    if not rows:
+        return spark.createDataFrame([], normal.select("doc_id").schema.add("kind", "string").add("unit_no", "long").add("license", "string").add("dice", "double"))
+    known = materialise(spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(license, held, anchors, own, low, high, least)"), "window-templates")
+    possible = reduce(Column.__or__, [F.contains("text", F.lit(word)) for word in sorted(anchors)])
+    asked = materialise(normal.filter(possible).withColumn("row_no", F.monotonically_increasing_id()), "window-texts")
+    told = materialise(
+        _scan_units(asked.select(F.col("row_no").alias("doc_id"), "text"), templates, threshold)
+        .groupBy(F.col("doc_id").alias("row_no"))
+        .agg(F.collect_list(F.struct("kind", F.col("unit_no").cast("int").alias("unit_no"), "license")).alias("told")),  # units of one text
+        "told",
+    )
+    split = lambda text: F.filter(F.split(text, "[ \n]+"), lambda w: w != "")
+    numbers = lambda units: F.flatten(F.transform(units, lambda u, i: F.transform(split(u), lambda w: i)))
+    words = asked.select(
+        "row_no", "doc_id", split(F.col("text")).alias("words"), numbers(F.split("text", "\n")).alias("line"), numbers(F.split("text", "\n *\n")).alias("paragraph")
+    ).filter(F.size("words") > 1)
+    size = F.size("words") - 1
+    pairs = F.zip_with(F.slice("words", F.lit(1), size), F.slice("words", F.lit(2), size), lambda a, b: F.concat_ws(" ", a, b))
+    grams = words.withColumn("grams", pairs)
+    each = grams.join(F.broadcast(known), F.arrays_overlap("words", "anchors"))  # a constant
+    hits = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains(F.col("held"), g), i)), lambda i: i.isNotNull())
+    each = each.withColumn("hits", hits).filter(F.size("hits") >= F.col("least"))
+    # a window that begins with a hit has the least number of hits in reach, or no chance
+    reach = lambda i, at: F.get(F.col("hits"), at + F.col("least") - 1) - i < F.col("high")
+    starts = each.withColumn("start", F.explode(F.filter("hits", lambda i, at: F.coalesce(reach(i, at), F.lit(False)))))
+    ends = F.filter("hits", lambda e: (e - F.col("start") + 1 >= F.col("low")) & (e - F.col("start") < F.col("high")))
+    within = starts.withColumn("part", F.slice("grams", F.col("start") + 1, F.col("high"))).withColumn("ends", ends)
+    times = lambda gram, grams: F.size(F.filter(grams, lambda g: g == gram))
+    first = lambda end: F.slice("part", F.lit(1), end - F.col("start") + 1)
+    shared = lambda end: F.aggregate(
+        F.array_distinct("held"), F.lit(0), lambda n, g: n + F.least(times(g, first(end)), times(g, F.col("held")))
+    )
+    dice = lambda end: shared(end) * F.lit(2.0) / (end - F.col("start") + 1 + F.col("own"))
+    best = F.array_min(F.transform("ends", lambda e: F.struct((-dice(e)).alias("minus"), e.alias("end"))))
+    found = within.withColumn("best", best).filter(-F.col("best.minus") >= threshold)
+    # the last word of a window is one after its last bigram
+    at = lambda column, place: F.get(F.col(column), place)
+    last = F.col("best.end") + 1
+    found = found.select(
+        "row_no", "doc_id", "license", "start", last.alias("last"), "best.minus",
+        *(at(c, p).alias(f"{c}_{n}") for c in ("line", "paragraph") for n, p in (("a", F.col("start")), ("z", last))),
+    )
+    inside = lambda u, c: (u.kind == c) & (u.unit_no >= F.col(f"{c}_a")) & (u.unit_no <= F.col(f"{c}_z"))
+    alone = lambda c: F.col(f"{c}_a") == F.col(f"{c}_z")
+    covers = lambda u, c: inside(u, c) & (alone(c) | (u.license == F.col("license")))
+    known_by = F.exists("told", lambda u: (u.kind == "text") | covers(u, "line") | covers(u, "paragraph"))
+    new = found.join(told, "row_no", "left").filter(~F.coalesce(known_by, F.lit(False)))
+    ordered = F.sort_array(F.collect_list(F.struct("minus", "start", "license", "last")))
+    apart = lambda kept, w: ~F.exists(kept, lambda k: (k.start <= w.last) & (w.start <= k.last))
+    listed_all = new.groupBy("row_no").agg(F.first("doc_id").alias("doc_id"), ordered.alias("all"))  # windows of one text
+    nothing = F.filter("all", lambda w: F.lit(False))
+    taken = F.aggregate("all", nothing, lambda kept, w: F.when(apart(kept, w), F.concat(kept, F.array(w))).otherwise(kept))
+    return listed_all.select("doc_id", F.explode(taken).alias("w")).select(
+        "doc_id", F.lit("window").alias("kind"), F.col("w.start").cast("long").alias("unit_no"), "w.license", (-F.col("w.minus")).alias("dice")
+    )
+
+
+def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, kind, unit_no, license and dice of every unit, and of every window elsewhere, that a template matches."""
+    normal = documents.select(F.col(id_col).alias("doc_id"), F.regexp_replace(F.lower(text_of(F.col(text_col))), r"[^\p{L}\p{N}\n]+", " ").alias("text"))
+    return _scan_units(normal, templates, threshold).unionByName(_windows(normal, templates, threshold))
+
+
 def duckdb_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same scan in SQL."""
+    """The scan of units in SQL; windows are beyond it."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     rows = ", ".join(f"({quote(t['name'])}, [{', '.join(map(quote, t['grams']))}], {t['size']}, {t['low']}, {t['high']})" for t in compiled(templates, threshold))
     return rf"""

@@ -8,8 +8,10 @@ block's text over them. A text that every page repeats has entropy one and is un
 important. A content node, a text under an element node, has the mean of both, content weighing ``CONTENT_SHARE``.
 
 What a page keeps follows from the node's zone. Named noise (navigation, footers, asides, forms, and classes or ids
-that say so) weighs nothing and goes. Named content (article, main) is never below the threshold and stays, so that a
-passage that many articles share is not lost. Anything else goes where its host's importance is below ``THRESHOLD``.
+that say so) weighs nothing and goes. Classes and ids never decide for html, body, article and main, nor for wrappers:
+elements that hold the page's article or main, or over half of the text of a page that has neither.
+Named content (article, main) is never below the threshold and stays, so that a passage that many articles share is not
+lost. Anything else goes where its host's importance is below ``THRESHOLD``.
 
 Pages that agree in all blocks count once per host, so that copies do not make their own text unimportant. Counts are
 partial sums before every shuffle, and page texts are written once and only move if their host has branches to remove.
@@ -46,6 +48,8 @@ RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NOISE_TAGS = frozenset("head nav footer aside form menu dialog".split()) | SKIPPED
 CONTENT_TAGS = frozenset("article main".split())
+#: Elements that hold a whole page or article: their names say how it looks ("has-sidebar", "comments-open").
+WHOLE_TAGS = frozenset("html body article main".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr legend li main menu nav ol p pre section summary table caption tbody thead tfoot tr ul".split()
@@ -64,7 +68,9 @@ HEADER_WORDS = frozenset(["header"])
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -77,12 +83,14 @@ class Page(NamedTuple):
 
 
 class _Element:
-    __slots__ = ("children", "node", "saved", "tag", "zone")
+    __slots__ = ("children", "lost", "marks", "node", "saved", "tag", "zone")
 
     def __init__(self, tag: str, node: int, zone: int, saved: list[str] | None = None):
         self.tag, self.node, self.zone, self.children = tag, node, zone, []
         #: What stood before it in its block, for noise inside a line.
         self.saved = saved
+        #: Whether it is noise by more than names, and the numbers of the elements around it, itself too, that are so by name.
+        self.lost, self.marks = False, ()
 
 
 def _hash(*parts: object) -> int:
@@ -90,6 +98,13 @@ def _hash(*parts: object) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether attributes hide their element; the word in a class or another value does not."""
+    if _HIDDEN.search(attributes):
+        return True
+    return bool("hidden" in attributes.lower() and _BARE_HIDDEN.search(_QUOTED.sub('""', attributes)))
+
+
 def _zone(tag: str, words: set[str], hidden: bool, above: int) -> int:
     if above == NOISE or hidden or tag in NOISE_TAGS or words & NOISE_WORDS:
         return NOISE
@@ -101,16 +116,30 @@ def _zone(tag: str, words: set[str], hidden: bool, above: int) -> int:
 
 
 def parse(html: str) -> Page:
-    """Blocks and style-tree features of one page; every character is looked at once."""
-    root = _Element("", 0, OPEN)
-    stack, blocks, held = [root], [], []
+    """Blocks and style-tree features of one page; a page with named wrappers is read once more, without their names."""
+    page, wrappers = _parse(html, frozenset())
+    return _parse(html, wrappers)[0] if wrappers else page
+
+
+def _parse(html: str, wrappers: frozenset[int]) -> tuple[Page, frozenset[int]]:
+    """A page whose elements ``wrappers``, by number, count as not named; and which elements are named but are wrappers.
+
+    Those hold the page's article or main; on a page without either, more than half of its text outside noise elements.
+    """
+    root, number, named, wrapping, weight = _Element("", 0, OPEN), 0, Counter(), set(), 0
+    stack, blocks, held, content = [root], [], [], False
     shown: Counter[tuple[int, int, int]] = Counter()
 
     def flush() -> None:
+        nonlocal weight
         text = _SPACE.sub(" ", "".join(held)).strip()
         held.clear()
         if text:
             at = stack[-1]
+            if not at.lost:
+                weight += len(text)
+                for mark in at.marks:
+                    named[mark] += len(text)
             feature = _hash(text)
             shown[at.node, 1, feature] += 1
             if at.zone != NOISE:
@@ -164,12 +193,21 @@ def parse(html: str) -> Page:
         if tag in VOID:
             continue
         # inline markup has no node of its own: its text belongs to the block it stands in
-        if tag not in BLOCKS and tag not in NOISE_TAGS and not _NAMES.search(found[3]) and not _HIDDEN.search(found[3]):
+        if tag not in BLOCKS and tag not in NOISE_TAGS and not _NAMES.search(found[3]) and not _hidden(found[3]):
             continue
         names = " ".join(m[2].strip("\"'") for m in _NAMES.finditer(found[3])).lower()
         label = f"{tag} {names}".strip()
         above = stack[-1]
-        zone = _zone(tag, set(_WORDS.findall(names)), bool(_HIDDEN.search(found[3])), above.zone)
+        words, hidden = set(_WORDS.findall(names)), _hidden(found[3])
+        number += 1
+        if tag in WHOLE_TAGS or number in wrappers:
+            words = set()
+        zone = _zone(tag, words, hidden, above.zone)
+        lost = above.lost or hidden or tag in NOISE_TAGS or tag == "header" and not above.marks and zone == NOISE
+        marks = (*above.marks, number) if words & (NOISE_WORDS | HEADER_WORDS) else above.marks
+        if tag in CONTENT_TAGS and not lost:
+            wrapping.update(above.marks)
+            content = True
         saved = None
         if tag not in BLOCKS:
             if zone == above.zone:
@@ -182,9 +220,12 @@ def parse(html: str) -> Page:
         if not above.children or above.children[-1] != label:
             above.children.append(label)
         stack.append(_Element(tag, _hash(above.node, label), zone, saved=saved))
+        stack[-1].lost, stack[-1].marks = lost, marks
     flush()
     close(1)
-    return Page(blocks, [(*key, times) for key, times in shown.items()])
+    if not content:
+        wrapping = {mark for mark, held in named.items() if 2 * held > weight}
+    return Page(blocks, [(*key, times) for key, times in shown.items()]), frozenset(wrapping)
 
 
 _BLOCK = pa.list_(pa.struct([("node", pa.int64()), ("zone", pa.int32()), ("feature", pa.int64()), ("text", pa.string())]))

@@ -110,7 +110,7 @@ def _zone(tag: str, words: set[str], hidden: bool, above: int) -> int:
         return NOISE
     if above == CONTENT:
         return CONTENT
-    if tag in CONTENT_TAGS or "main" in words:
+    if tag in CONTENT_TAGS:
         return CONTENT
     return NOISE if tag == "header" or words & HEADER_WORDS else OPEN
 

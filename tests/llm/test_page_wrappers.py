@@ -29,3 +29,10 @@ def test_named_noise_still_goes():
     assert kept(f'<body>{TEXT}<div class="comments">first</div><div hidden>x</div><div style="display:none">y</div></body>') == kept(TEXT)
     assert kept(f'<article>{TEXT}</article><div class="comments">{TEXT * 9}</div>') == kept(TEXT)
     assert kept("<nav>only</nav>") == []
+
+
+def test_a_wrapper_named_main_is_judged_by_its_host(spark):
+    page = '<body><div id="main-wrapper"><header>Site</header><div>Told on every page</div><p>Only page {}</p></div></body>'
+    rows = [(k, f"http://h/{k}", page.format(k)) for k in range(5)]
+    got = page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r.text for r in got) == [f"Only page {k}" for k in range(5)]

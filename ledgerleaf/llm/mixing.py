@@ -5,7 +5,9 @@ documents is clamped there, and what it cannot take is shared among the others b
 A source is then repeated ``floor(target / size)`` times whole, and the fraction that is left is taken from the front of
 a seeded order of its documents. The order is cut by weight: the documents of a source fall into ``BUCKETS`` buckets by
 a seeded hash, sizes are summed per bucket, and buckets are taken up to the one whose end lies closest to the wanted
-size. So a source misses its target by half a bucket at most: a document of a small source, about 1/100,000 of a large one.
+size. So a source misses its target by half of its largest bucket at most: half a document of a small source and about
+1/100,000 of a large one if ids are distinct. Rows of one id, and all rows without id, are one bucket, so a source made
+up of such rows can miss its target by up to half of their size.
 
 Nothing but one row per source and bucket is ever gathered, with partial sums before the shuffle.
 

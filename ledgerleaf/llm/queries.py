@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from ledgerleaf.llm import exact_dedup, imatch, licenses, mixing, packing, page_text, quality, simhash, token_files, toxicity
-from ledgerleaf.llm.common import table
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerleaf.llm import (
+    exact_dedup,
+    graph_index,
+    imatch,
+    licenses,
+    mixing,
+    packing,
+    page_text,
+    periodic_runs,
+    quality,
+    simhash,
+    token_alignment,
+    token_files,
+    toxicity,
+)
+from ledgerleaf.llm.common import WHITE_SPACE, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +70,51 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_index.neighbours(table(spark, sf_dir, "embeddings"), every=50)
+
+
+def with_planted_run(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of a tenth of the documents repeat from a place on, as the contract says."""
+    spaced = F.trim(F.translate(text_of(F.col("text")), WHITE_SPACE, " " * len(WHITE_SPACE)))
+    rows = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"), spaced.alias("spaced"))
+
+    def changed(words: Column) -> Column:
+        n, g = F.size(words).cast("long"), F.floor(F.col("h") / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        repeated = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), repeated), " ")
+
+    # an array of one array, so that a text is split once and not once for each of its words
+    changed_text = F.transform(F.array(F.split("spaced", " +")), changed)[0]
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("spaced") != ""), changed_text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_run(table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    # by start, then period: only a greater exponent replaces the one before, compared without division
+    greater = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.reduce("runs", none, lambda best, r: F.when(greater(best, r), r).otherwise(best))
+    rows = found.select("doc_id", "runs", best.alias("best"), lines.alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -68,6 +128,9 @@ QUERIES: dict[str, Query] = {
         op8_site_style_tree,
         op9_toxicity_distance,
         op10_source_mixing,
+        op11_token_alignment,
+        op12_graph_neighbours,
+        op13_periodic_runs,
     )
 }
 

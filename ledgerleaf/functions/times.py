@@ -21,6 +21,11 @@ def as_datetime(as_of: datetime | date | str) -> datetime:
     return as_of
 
 
+def utc_now() -> datetime:
+    """The clock, for callers that measure; jobs themselves take their times as arguments."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def ts_literal(as_of: datetime | date | str) -> Column:
     """A ``timestamp_ntz`` literal: foldable, so comparisons with it reach the scan."""
     return F.lit(as_datetime(as_of).isoformat(sep=" ")).cast("timestamp_ntz")

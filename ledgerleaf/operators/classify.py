@@ -134,6 +134,12 @@ def registry_delta(registry: DataFrame, outcomes: DataFrame, as_of) -> DataFrame
     return state.transition(registry, outcomes.select("file_id", "document_type", "error"), "AVAILABLE", as_of)
 
 
+NAMES = ("classified", "failed")
+
+
+def outcome_name() -> Column:
+    return F.when(F.col("error").isNull(), F.lit("classified")).otherwise(F.lit("failed"))
+
+
 def counters(outcomes: DataFrame) -> DataFrame:
-    named = F.when(F.col("error").isNull(), F.lit("classified")).otherwise(F.lit("failed"))
-    return state.counters(outcomes.select(named.alias("outcome")), "outcome", ["classified", "failed"])
+    return state.counters(outcomes.select(outcome_name().alias("outcome")), "outcome", NAMES)

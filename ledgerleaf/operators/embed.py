@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.times import ts_literal
@@ -31,6 +31,12 @@ def registry_delta(registry: DataFrame, done: DataFrame, as_of) -> DataFrame:
     return state.transition(registry, done, "EMBEDDED", as_of)
 
 
+NAMES = ("embedded", "failed")
+
+
+def outcome_name() -> Column:
+    return F.when(F.col("error").isNull(), F.lit("embedded")).otherwise(F.lit("failed"))
+
+
 def counters(done: DataFrame) -> DataFrame:
-    named = F.when(F.col("error").isNull(), F.lit("embedded")).otherwise(F.lit("failed"))
-    return state.counters(done.select(named.alias("outcome")), "outcome", ["embedded", "failed"])
+    return state.counters(done.select(outcome_name().alias("outcome")), "outcome", NAMES)

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
@@ -201,6 +201,12 @@ def registry_delta(registry: DataFrame, outcomes: DataFrame, as_of) -> DataFrame
     return state.transition(registry, outcomes.select("file_id", "error"), "TEXT_EXTRACTED", as_of)
 
 
+NAMES = ("extracted", "failed")
+
+
+def outcome_name() -> Column:
+    return F.when(F.col("error").isNull(), F.lit("extracted")).otherwise(F.lit("failed"))
+
+
 def counters(outcomes: DataFrame) -> DataFrame:
-    named = F.when(F.col("error").isNull(), F.lit("extracted")).otherwise(F.lit("failed"))
-    return state.counters(outcomes.select(named.alias("outcome")), "outcome", ["extracted", "failed"])
+    return state.counters(outcomes.select(outcome_name().alias("outcome")), "outcome", NAMES)

@@ -1,6 +1,8 @@
 """Pluggable models.
 
 A model is a function of columns, so a stand-in can stay inside the JVM and a real model can be an Arrow batch UDF.
+``batched`` and ``batched_embedder`` make models of functions that are costly to set up: set up once per task, then asked
+for batches.
 The defaults here are deterministic stand-ins for offline use: they exercise the data flow and claim no meaning.
 """
 
@@ -8,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,18 +48,7 @@ class CompletionModel:
 
 def guarded(fn: Callable[[str], str]) -> Callable[[Column, Column], Column]:
     """Wraps a Python ``prompt -> reply`` function as a batch UDF; an exception becomes that row's error."""
-
-    @F.pandas_udf(REPLY)
-    def call(prompts: pd.Series) -> pd.DataFrame:
-        out = []
-        for prompt in prompts:
-            try:
-                out.append((fn(prompt), None))
-            except Exception as problem:  # one failed call must not fail the batch
-                out.append((None, str(problem) or type(problem).__name__))
-        return pd.DataFrame(out, columns=["reply", "error"])
-
-    return lambda prompt, facts: call(prompt)
+    return batched(lambda: lambda prompts: [fn(prompt) for prompt in prompts], at_once=1)
 
 
 def as_reply(result: Column, dtype) -> Column:
@@ -67,14 +58,88 @@ def as_reply(result: Column, dtype) -> Column:
     return result
 
 
+#: Prompts, or texts, that a model gets at a time.
+AT_ONCE = 64
+
+
+def _answers(answer: Callable[[list[str]], list], items: list[str]) -> list[tuple[object, str | None]]:
+    """(reply, error) per item, in order. If a batch fails its items are asked one by one, so only those that fail do."""
+
+    def asked(some: list[str]) -> list:
+        replies = list(answer(some))
+        if len(replies) != len(some):
+            raise ValueError(f"{len(replies)} replies to {len(some)} inputs")
+        return replies
+
+    try:
+        return [(reply, None) for reply in asked(items)]
+    except Exception as problem:  # one failed call must not fail the batch
+        if len(items) == 1:
+            return [(None, str(problem) or type(problem).__name__)]
+        return [found for item in items for found in _answers(answer, [item])]
+
+
+def _ready(setup: Callable[[], Callable[[list[str]], list]]) -> Callable[[list[str]], list]:
+    """The model, set up; a model that cannot be set up fails every item with the reason."""
+    try:
+        return setup()
+    except Exception as problem:  # known to each row instead
+        reason = str(problem) or type(problem).__name__
+
+        def unavailable(items: list[str]) -> list:
+            raise RuntimeError(reason)
+
+        return unavailable
+
+
+def batched(
+    setup: Callable[[], Callable[[list[str]], list[str]]], at_once: int = AT_ONCE, of: Callable[[Column, Column], Column] | None = None
+) -> Callable[[Column, Column], Column]:
+    """A completion model that is set up once per task and answers batches of prompts.
+
+    ``setup`` runs in the worker, before the first prompt, and gives the function that answers a list of prompts in order.
+    An exception becomes the error of the prompts it is about. ``of`` makes the text that the model gets from prompt and
+    facts; by default that is the prompt.
+    """
+
+    @F.pandas_udf(REPLY)
+    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        answer = None
+        for prompts in batches:
+            answer = answer or _ready(setup)
+            items = prompts.tolist()
+            found = [x for i in range(0, len(items), at_once) for x in _answers(answer, items[i : i + at_once])]
+            yield pd.DataFrame(found, columns=["reply", "error"], dtype=object)
+
+    return lambda prompt, facts: call(of(prompt, facts) if of else prompt)
+
+
+def batched_embedder(name: str, width: int, setup: Callable[[], Callable[[list[str]], np.ndarray]], at_once: int = 1024) -> EmbeddingModel:
+    """An embedding model that is set up once per task. The function it gives maps texts to rows of ``width`` numbers."""
+
+    @F.arrow_udf("array<float>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vectors_of = None
+        for texts in batches:
+            vectors_of = vectors_of or setup()
+            items = [t or "" for t in texts.to_pylist()]
+            parts = [np.asarray(vectors_of(items[i : i + at_once]), dtype=np.float32) for i in range(0, len(items), at_once)]
+            rows = np.concatenate(parts) if parts else np.zeros((0, width), dtype=np.float32)
+            if rows.shape != (len(items), width):
+                raise ValueError(f"model {name} gave {rows.shape}, not {(len(items), width)}")
+            offsets = pa.array(np.arange(len(items) + 1, dtype=np.int32) * width)
+            yield pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1)))
+
+    return EmbeddingModel(name, width, encode)
+
+
 TOKEN_CACHE = 1 << 18
 
 
 def hashing_embedder(width: int = 1024) -> EmbeddingModel:
-    """Token counts hashed into ``width`` buckets and scaled to length one."""
+    """Token counts hashed into ``width`` buckets and scaled to length one. Buckets of tokens are remembered per task."""
 
-    @F.arrow_udf("array<float>")
-    def encode(texts: pa.Array) -> pa.Array:
+    def setup() -> Callable[[list[str]], np.ndarray]:
         tokens_of = re.compile(WORD).findall
         known: dict[str, int] = {}
 
@@ -84,17 +149,18 @@ def hashing_embedder(width: int = 1024) -> EmbeddingModel:
             found = known[token] = int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % width
             return found
 
-        rows = np.zeros((len(texts), width), dtype=np.float64)
-        for row, text in zip(rows, texts.to_pylist()):
-            buckets = [known[t] if t in known else bucket(t) for t in tokens_of((text or "").lower())]
-            if buckets:
-                row += np.bincount(buckets, minlength=width)
-        norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        scaled = np.divide(rows, norms, out=rows, where=norms > 0).astype(np.float32)
-        offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width)
-        return pa.ListArray.from_arrays(offsets, pa.array(scaled.reshape(-1)))
-
-    return EmbeddingModel(f"hashing-{width}", width, encode)
+        def vectors(texts: list[str]) -> np.ndarray:
+            rows = np.zeros((len(texts), width), dtype=np.float64)
+            for row, text in zip(rows, texts):
+                buckets = [known[t] if t in known else bucket(t) for t in tokens_of(text.lower())]
+                if buckets:
+                    row += np.bincount(buckets, minlength=width)
+            norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+            return np.divide(rows, norms, out=rows, where=norms > 0)
+
+        return vectors
+
+    return batched_embedder(f"hashing-{width}", width, setup)
 
 
 def words(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import paths
@@ -65,6 +65,12 @@ def audit(routed: DataFrame, start, end) -> DataFrame:
     return state.audit_rows(routed_documents(routed), "ROUTE", start, end)
 
 
+NAMES = ("routed", "skipped", "failed")
+
+
+def outcome_name() -> Column:
+    return F.when(F.col("error").isNotNull(), F.lit("failed")).otherwise(F.col("outcome"))
+
+
 def counters(routed: DataFrame) -> DataFrame:
-    failed = F.when(F.col("error").isNotNull(), F.lit("failed")).otherwise(F.col("outcome"))
-    return state.counters(routed.withColumn("outcome", failed), "outcome", ["routed", "skipped", "failed"])
+    return state.counters(routed.withColumn("outcome", outcome_name()), "outcome", NAMES)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.functions import lookups
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.times import ts_literal
+from ledgerleaf.measured import Pass, timed
 from ledgerleaf.operators import embed, models, similarity
 from ledgerleaf.session import materialise
 
@@ -189,6 +190,35 @@ def client_search(
     )
 
 
+def measured_search(
+    queries: DataFrame,
+    chunks: DataFrame,
+    registry: DataFrame,
+    classifications: DataFrame,
+    embedder: models.EmbeddingModel,
+    reranker: models.CompletionModel | None = None,
+    k: int = similarity.TOP_K,
+) -> Pass:
+    """``client_search`` run to its end: the stored results with ``execution_ms`` as measured, and what was counted.
+
+    The time runs from the call until every result is stored. The queries of a batch are answered together, so each of
+    them took what the batch took. The counters (queries, answered, unanswered, candidates) are observed while the results
+    are written; nothing is read again for them.
+    """
+    found = timed(
+        lambda: client_search(queries, chunks, registry, classifications, embedder, reranker, k),
+        lambda results: materialise(results, "search-results"),
+        {
+            "queries": F.count(F.lit(1)),
+            "answered": F.count_if(F.col("error").isNull()),
+            "unanswered": F.count_if(F.col("error").isNotNull()),
+            "candidates": F.coalesce(F.sum("result_count"), F.lit(0)),
+        },
+    )
+    results = found.result.withColumn("execution_ms", F.lit(found.elapsed_ms).cast("bigint"))
+    return Pass(results, found.elapsed_ms, found.metrics)
+
+
 def result_json(results: DataFrame) -> DataFrame:
     """(query_id, result): one JSON document per query, or the short error form. Null keys are written out."""
     full = F.to_json(F.struct(*RESULT_KEYS), {"ignoreNullFields": "false"})

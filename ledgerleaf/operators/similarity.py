@@ -81,6 +81,16 @@ def available_chunks(chunks: DataFrame, registry: DataFrame) -> DataFrame:
     return chunks.join(sizing.broadcast_if_small(available), "file_id", "left_semi")
 
 
+def colocated_chunks(chunks: DataFrame, registry: DataFrame, buckets: int) -> DataFrame:
+    """Chunks of AVAILABLE documents from a table that ``sinks.save_bucketed_chunks`` made with ``buckets``.
+
+    For more ids than can be broadcast: the ids are dealt like the table and meet its vectors where they lie, so only ids
+    go through a shuffle.
+    """
+    available = registry.where(F.col("processing_status") == "AVAILABLE").select("file_id")
+    return chunks.join(available.repartition(buckets, "file_id").hint("merge"), "file_id", "left_semi")
+
+
 def tenant_top_k(
     chunks: DataFrame, registry: DataFrame, client: str, vector: Sequence[float], k: int = TOP_K
 ) -> DataFrame:

@@ -155,7 +155,7 @@ def transition(registry: DataFrame, outcomes: DataFrame, done_status: str, as_of
 
 
 def audit_rows(outcomes: DataFrame, step: str, start, end) -> DataFrame:
-    """One audit row per attempt: COMPLETED, or FAILED with the first 4000 characters of the error."""
+    """One audit row per attempt: COMPLETED, or FAILED with its error."""
     failed = F.col("error").isNotNull()
     return outcomes.select(
         "file_id",
@@ -167,11 +167,16 @@ def audit_rows(outcomes: DataFrame, step: str, start, end) -> DataFrame:
     ).select(*PROCESSING_AUDIT.names)
 
 
+def counts(outcome: Column, names: Iterable[str]) -> dict[str, Column]:
+    """How often each outcome value occurs, as aggregates to observe or to select."""
+    return {n: F.count_if(outcome == n) for n in names}
+
+
 def counters(outcomes: DataFrame, outcome: str, names: Iterable[str]) -> DataFrame:
     """One row: how often each outcome value occurred, as columns and as one JSON text."""
     names = list(names)
-    counts = outcomes.agg(*[F.count_if(F.col(outcome) == n).alias(n) for n in names])
-    return counts.withColumn("result_json", F.to_json(F.struct(*names)))
+    found = outcomes.agg(*[value.alias(n) for n, value in counts(F.col(outcome), names).items()])
+    return found.withColumn("result_json", F.to_json(F.struct(*names)))
 
 
 def archive_transition(registry: DataFrame, requests: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:

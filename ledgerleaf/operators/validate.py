@@ -215,6 +215,12 @@ def dispositions(results: DataFrame) -> DataFrame:
     )
 
 
+def run_metrics() -> dict[str, Column]:
+    """processed / successes / failures of one run, to observe while its ``dispositions`` are written."""
+    valid = F.col("disposition") == "validated"
+    return {"processed": F.count(F.lit(1)), "successes": F.count_if(valid), "failures": F.count_if(~valid)}
+
+
 def run_counters(envelopes: DataFrame, results: DataFrame) -> DataFrame:
     """processed / successes / failures of one run; malformed envelopes fail, skipped keys are not counted."""
     seen = envelopes.where(F.col("outcome") == "malformed").select(F.lit(False).alias("success"))

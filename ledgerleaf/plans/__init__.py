@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-_MODULES = ("searching", "intake", "texts", "lifecycle", "monitoring", "custody", "streams", "stored")
+_MODULES = ("searching", "intake", "texts", "lifecycle", "monitoring", "custody", "streams", "stored", "durable", "landed")
 
 
 def load() -> ModuleType:

@@ -95,6 +95,16 @@ SEARCH_AUDIT = _table(
     ("search_ts", _TS),
 )
 
+STEP_RUNS = _table(
+    ("name", _S),
+    ("state", _S),
+    ("scheduled_time", _TS),
+    ("completed_time", _TS),
+    ("return_value", _S),
+    ("error_message", _S),
+    ("batch_id", _L),
+)
+
 LANDING_FILES = _table(
     ("relative_path", _S),
     ("file_size", _L),

@@ -8,6 +8,7 @@ import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "ledgerleaf", master: str | None = None, **settings: str) -> SparkSession:
@@ -66,6 +67,30 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its store, whatever store it is. Spark's readers list folders too, but cannot ask for one or delete it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame | None:
+    """A stored table, or None if nothing has been written there yet."""
+    place, store = _place(spark, path)
+    return spark.read.schema(schema).parquet(path) if store.exists(place) else None
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path; none if it is not there."""
+    place, store = _place(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(place) if f.isDirectory()] if store.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder that no reader needs any more."""
+    place, store = _place(spark, path)
+    return store.delete(place, True)
+
+
 def spread(df: DataFrame, *keys: str, per_core: int = 2) -> DataFrame:
     """Redistributes an input that has too few partitions for the cores at hand, ahead of heavy per-row work.
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerleaf.llm import exact_dedup, mixing, near_copies, packing, quality
+from ledgerleaf.llm import exact_dedup, mixing, packing, quality, simhash
 from ledgerleaf.llm.common import table
 from ledgerleaf.session import materialise
 
@@ -32,8 +32,8 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that are like one before: five-word shingles, likeness 0.8 or more."""
-    return near_copies.representatives(docs)
+    """One document of each group of near copies: three-word shingles, fingerprints at two bits or less."""
+    return simhash.representatives(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ A notice that does not fill its unit is found by windows over the words of the w
 through: kind ``window``, with the number of the window's first word as ``unit_no``. Windows start and end with bigrams of
 their template and have the sizes that can reach the threshold; those that do are taken best first, and no two that are
 taken overlap. What units have found is not told twice: windows inside a unit found, or of its license and overlapping
-it, are left out. A template needs two thirds of its bigrams (at 0.8), so some words of it cannot all be missing; texts
-without any such word have no window and are left after one look.
+it, are left out. A template needs two thirds of its bigrams (at 0.8), so some bigrams of it cannot all be missing; texts
+without any such bigram have no window and are left after one look. Of the others, words are paired and joined with the
+templates' bigrams, and all that follows works on those hits, not on texts.
 
 Defined cases. A null text counts as empty and matches nothing; units without a bigram match nothing. Texts of any
 length are scanned whole. Repeated rows give repeated results; null ids are carried along. An empty table gives an empty
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,58 +143,100 @@ def needed(words: list[str], threshold: float) -> tuple[int, list[str]]:
     return least, anchors
 
 
-def _windows(normal: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """The windows that a template matches and no unit has told of."""
-    spark, quote = normal.sparkSession, lambda s: "'" + s.replace("'", "\\'") + "'"
-    listed = lambda strings: f"array({', '.join(map(quote, strings))})"
+def telling(grams: list[str], least: int) -> list[str]:
+    """Bigrams of which a window that shares ``least`` with the template cannot lack all: as many as it may lack and one, long ones first."""
+    ordered = sorted(grams, key=lambda g: (-len(g), g))
+    return sorted(set(ordered[: len(grams) - least + 1]))
+
+
+def _by_gram(spark: SparkSession, templates: dict[str, str], threshold: float) -> tuple[DataFrame, list[str]] | None:
+    """(gram, license, times, own, low, high, least): which templates hold a bigram, and how often; and the bigrams to look for."""
+    quote = lambda s: "'" + s.replace("'", "\\'") + "'"
     rows, anchors = [], set()
     for t in compiled(templates, threshold):
         if t["grams"]:
-            least, own = needed(words_of(templates[t["name"]]), threshold)
-            anchors |= set(own)
-            rows.append(f"({quote(t['name'])}, {listed(t['grams'])}, {listed(own)}, {t['size']}, {max(t['low'], 1)}, {t['high']}, {least})")
+            least, _ = needed(words_of(templates[t["name"]]), threshold)
+            anchors |= set(telling(t["grams"], least))
+            for gram, times in Counter(t["grams"]).items():
+                rows.append(f"({quote(gram)}, {quote(t['name'])}, {times}, {t['size']}, {max(t['low'], 1)}, {t['high']}, {least})")
     if not rows:
-        return spark.createDataFrame([], normal.select("doc_id").schema.add("kind", "string").add("unit_no", "long").add("license", "string").add("dice", "double"))
-    known = materialise(spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(license, held, anchors, own, low, high, least)"), "window-templates")
-    possible = reduce(Column.__or__, [F.contains("text", F.lit(word)) for word in sorted(anchors)])
-    asked = materialise(normal.filter(possible).withColumn("row_no", F.monotonically_increasing_id()), "window-texts")
-    told = materialise(
-        _scan_units(asked.select(F.col("row_no").alias("doc_id"), "text"), templates, threshold)
-        .groupBy(F.col("doc_id").alias("row_no"))
-        .agg(F.collect_list(F.struct("kind", F.col("unit_no").cast("int").alias("unit_no"), "license")).alias("told")),  # units of one text
-        "told",
-    )
+        return None
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(gram, license, times, own, low, high, least)"), sorted(anchors)
+
+
+def _hits(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """(row_no, license, own, low, high, least, hits): where a text has bigrams of a template, in order.
+
+    A hit has its place, the lines and paragraphs of its two words, and ``before``: the place of the same bigram as many
+    occurrences earlier as the template has it, -1 if there is none. Within a window it counts if that lies before the window.
+    """
     split = lambda text: F.filter(F.split(text, "[ \n]+"), lambda w: w != "")
     numbers = lambda units: F.flatten(F.transform(units, lambda u, i: F.transform(split(u), lambda w: i)))
-    words = asked.select(
-        "row_no", "doc_id", split(F.col("text")).alias("words"), numbers(F.split("text", "\n")).alias("line"), numbers(F.split("text", "\n *\n")).alias("paragraph")
-    ).filter(F.size("words") > 1)
-    size = F.size("words") - 1
-    pairs = F.zip_with(F.slice("words", F.lit(1), size), F.slice("words", F.lit(2), size), lambda a, b: F.concat_ws(" ", a, b))
-    grams = words.withColumn("grams", pairs)
-    each = grams.join(F.broadcast(known), F.arrays_overlap("words", "anchors"))  # a constant
-    hits = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains(F.col("held"), g), i)), lambda i: i.isNotNull())
-    each = each.withColumn("hits", hits).filter(F.size("hits") >= F.col("least"))
+    words = asked.select("row_no", split(F.col("text")).alias("words"), numbers(F.split("text", "\n")).alias("line"), numbers(F.split("text", "\n *\n")).alias("paragraph"))
+    zipped = F.zip_with("words", F.zip_with("line", "paragraph", lambda a, b: F.struct(a.alias("line"), b.alias("paragraph"))), lambda w, at: F.struct(w.alias("word"), at.line.alias("line"), at.paragraph.alias("paragraph")))
+    size = F.size("zipped") - 1
+    pairs = F.zip_with(F.slice("zipped", F.lit(1), size), F.slice("zipped", F.lit(2), size), lambda a, b: F.struct(
+        F.concat_ws(" ", a.word, b.word).alias("gram"), a.line.alias("line_a"), b.line.alias("line_z"), a.paragraph.alias("paragraph_a"), b.paragraph.alias("paragraph_z")
+    ))
+    each = words.select("row_no", zipped.alias("zipped")).filter(F.size("zipped") > 1).select("row_no", F.posexplode(pairs).alias("place", "pair"))
+    found = each.select("row_no", "place", "pair.*").join(F.broadcast(known), "gram")  # a constant
+    at = F.struct("place", "line_a", "line_z", "paragraph_a", "paragraph_z")
+    own = ["own", "low", "high", "least"]
+    same = found.groupBy("row_no", "license", "gram", "times", *own).agg(F.sort_array(F.collect_list(at)).alias("same"))  # places in one text
+    earlier = lambda i: F.coalesce(F.get(F.col("same"), i - F.col("times"))["place"], F.lit(-1))
+    marked = F.transform("same", lambda h, i: F.struct(
+        h.place.alias("place"), earlier(i).alias("before"),
+        h.line_a.alias("line_a"), h.line_z.alias("line_z"), h.paragraph_a.alias("paragraph_a"), h.paragraph_z.alias("paragraph_z"),
+    ))
+    listed = same.select("row_no", "license", *own, marked.alias("marked")).groupBy("row_no", "license", *own)
+    return listed.agg(F.sort_array(F.flatten(F.collect_list("marked"))).alias("hits")).filter(F.size("hits") >= F.col("least"))
+
+
+def _candidates(hits: DataFrame, threshold: float) -> DataFrame:
+    """The best window from each hit on that reaches the threshold, the shorter one in a tie: its hits alone decide."""
     # a window that begins with a hit has the least number of hits in reach, or no chance
-    reach = lambda i, at: F.get(F.col("hits"), at + F.col("least") - 1) - i < F.col("high")
-    starts = each.withColumn("start", F.explode(F.filter("hits", lambda i, at: F.coalesce(reach(i, at), F.lit(False)))))
-    ends = F.filter("hits", lambda e: (e - F.col("start") + 1 >= F.col("low")) & (e - F.col("start") < F.col("high")))
-    within = starts.withColumn("part", F.slice("grams", F.col("start") + 1, F.col("high"))).withColumn("ends", ends)
-    times = lambda gram, grams: F.size(F.filter(grams, lambda g: g == gram))
-    first = lambda end: F.slice("part", F.lit(1), end - F.col("start") + 1)
-    shared = lambda end: F.aggregate(
-        F.array_distinct("held"), F.lit(0), lambda n, g: n + F.least(times(g, first(end)), times(g, F.col("held")))
-    )
-    dice = lambda end: shared(end) * F.lit(2.0) / (end - F.col("start") + 1 + F.col("own"))
-    best = F.array_min(F.transform("ends", lambda e: F.struct((-dice(e)).alias("minus"), e.alias("end"))))
-    found = within.withColumn("best", best).filter(-F.col("best.minus") >= threshold)
-    # the last word of a window is one after its last bigram
-    at = lambda column, place: F.get(F.col(column), place)
-    last = F.col("best.end") + 1
-    found = found.select(
-        "row_no", "doc_id", "license", "start", last.alias("last"), "best.minus",
-        *(at(c, p).alias(f"{c}_{n}") for c in ("line", "paragraph") for n, p in (("a", F.col("start")), ("z", last))),
+    reach = lambda h, i: F.coalesce(F.get(F.col("hits"), i + F.col("least") - 1)["place"] - h.place < F.col("high"), F.lit(False))
+    from_each = F.filter(F.transform("hits", lambda h, i: F.when(reach(h, i), i)), lambda i: i.isNotNull())
+    starts = hits.withColumn("i", F.explode(from_each)).withColumn("first", F.get("hits", F.col("i")))
+    part = starts.withColumn("part", F.slice("hits", F.col("i") + 1, F.col("high"))).withColumn("start", F.col("first.place"))
+    number = F.lit(0)
+    none = F.struct(number.alias("shared"), F.lit(0.0).alias("minus"), F.lit(None).cast("int").alias("end"), F.lit(None).cast("int").alias("line_z"), F.lit(None).cast("int").alias("paragraph_z"))
+
+    def longer(best: Column, h: Column) -> Column:
+        size = h.place - F.col("start") + 1
+        shared = best.shared + F.when(h.before < F.col("start"), 1).otherwise(0)
+        minus = -(shared * F.lit(2.0) / (size + F.col("own")))
+        better = (size >= F.col("low")) & (minus < best.minus)
+        grown = F.struct(
+            shared.alias("shared"), F.when(better, minus).otherwise(best.minus).alias("minus"), F.when(better, h.place).otherwise(best.end).alias("end"),
+            F.when(better, h.line_z).otherwise(best.line_z).alias("line_z"), F.when(better, h.paragraph_z).otherwise(best.paragraph_z).alias("paragraph_z"),
+        )
+        return F.when(size <= F.col("high"), grown).otherwise(best)
+
+    best = part.withColumn("best", F.aggregate("part", none, longer)).filter(F.col("best.end").isNotNull() & (-F.col("best.minus") >= threshold))
+    return best.select(
+        "row_no", "license", "start", (F.col("best.end") + 1).alias("last"), "best.minus", "first.line_a", "best.line_z", "first.paragraph_a", "best.paragraph_z"
     )
+
+
+def _windows(documents: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """The windows that a template matches and no unit has told of."""
+    spark = documents.sparkSession
+    table = _by_gram(spark, templates, threshold)
+    if table is None:
+        return spark.createDataFrame([], documents.select("doc_id").schema.add("kind", "string").add("unit_no", "long").add("license", "string").add("dice", "double"))
+    known, anchors = materialise(table[0], "template-grams"), table[1]
+    # the text is bound once: a plain condition would be pushed below the normalising and repeat it for every anchor
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    possible = F.exists(F.array(spaced), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(f" {gram} ")) for gram in anchors]))
+    asked = materialise(_normal(documents.filter(possible)).withColumn("row_no", F.monotonically_increasing_id()), "window-texts")
+    found = materialise(_candidates(_hits(asked, known), threshold), "windows")
+    concerned = asked.join(found.select("row_no").distinct(), "row_no", "left_semi")
+    told = (
+        _scan_units(concerned.select(F.col("row_no").alias("doc_id"), "text"), templates, threshold)
+        .groupBy(F.col("doc_id").alias("row_no"))
+        .agg(F.collect_list(F.struct("kind", F.col("unit_no").cast("int").alias("unit_no"), "license")).alias("told"))  # units of one text
+    )
     inside = lambda u, c: (u.kind == c) & (u.unit_no >= F.col(f"{c}_a")) & (u.unit_no <= F.col(f"{c}_z"))
     alone = lambda c: F.col(f"{c}_a") == F.col(f"{c}_z")
     covers = lambda u, c: inside(u, c) & (alone(c) | (u.license == F.col("license")))
@@ -200,18 +244,22 @@ def _windows(normal: DataFrame, templates: dict[str, str], threshold: float) ->
     new = found.join(told, "row_no", "left").filter(~F.coalesce(known_by, F.lit(False)))
     ordered = F.sort_array(F.collect_list(F.struct("minus", "start", "license", "last")))
     apart = lambda kept, w: ~F.exists(kept, lambda k: (k.start <= w.last) & (w.start <= k.last))
-    listed_all = new.groupBy("row_no").agg(F.first("doc_id").alias("doc_id"), ordered.alias("all"))  # windows of one text
+    listed_all = new.groupBy("row_no").agg(ordered.alias("all"))  # windows of one text
     nothing = F.filter("all", lambda w: F.lit(False))
     taken = F.aggregate("all", nothing, lambda kept, w: F.when(apart(kept, w), F.concat(kept, F.array(w))).otherwise(kept))
-    return listed_all.select("doc_id", F.explode(taken).alias("w")).select(
-        "doc_id", F.lit("window").alias("kind"), F.col("w.start").cast("long").alias("unit_no"), "w.license", (-F.col("w.minus")).alias("dice")
-    )
+    chosen = listed_all.select("row_no", F.explode(taken).alias("w")).join(asked.select("row_no", "doc_id"), "row_no")
+    return chosen.select("doc_id", F.lit("window").alias("kind"), F.col("w.start").cast("long").alias("unit_no"), "w.license", (-F.col("w.minus")).alias("dice"))
+
+
+def _normal(rows: DataFrame) -> DataFrame:
+    """Lower case, with line ends, and one space for everything else that is no letter and no digit."""
+    return rows.withColumn("text", F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\n]+", " "))
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, kind, unit_no, license and dice of every unit, and of every window elsewhere, that a template matches."""
-    normal = documents.select(F.col(id_col).alias("doc_id"), F.regexp_replace(F.lower(text_of(F.col(text_col))), r"[^\p{L}\p{N}\n]+", " ").alias("text"))
-    return _scan_units(normal, templates, threshold).unionByName(_windows(normal, templates, threshold))
+    rows = documents.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
+    return _scan_units(_normal(rows), templates, threshold).unionByName(_windows(rows, templates, threshold))
 
 
 def duckdb_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:

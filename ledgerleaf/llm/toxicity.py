@@ -14,7 +14,8 @@ Both dictionaries and the calibration are fitted on a bounded sample of labelled
 at most ``TRAIN_BYTES``) that are not held out; scoring covers every document from its first byte to its last.
 
 Defined cases. Null, empty and blank texts have no window and score the calibrated value of no gain. Without labelled
-rows of both classes every score is 0. Repeated rows get the same score; null ids count as the empty id when rows are
+rows of both classes, or without any span that sets toxic rows apart, every score is 0. Few or equal toxic spans are
+the toxic dictionary as they are. Repeated rows get the same score; null ids count as the empty id when rows are
 held out. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -52,8 +53,10 @@ ODDS = math.log(20)
 SHARE = 0.02
 PART_BYTES = 3 * 1024
 COMMON_BYTES = 61 * 1024
-#: Bytes of tables at the start of a trained dictionary, about; only its content is used here.
+#: Bytes of tables at the start of a trained dictionary, about; only its content is used here. Few or equal samples train a
+#: dictionary that holds little else: one with less content than this share of its size is made of the samples instead.
 HEADER = 150
+LEAST_CONTENT = 1 / 4
 ORDINARY_COST = 3
 
 
@@ -102,11 +105,13 @@ def gains(text: str, ordinary: bytes, toxic: bytes) -> tuple[int, int, float]:
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
-    """Content of a dictionary that zstandard trains, repeated up to the size; samples too few to train on serve as they are."""
+    """Content of a dictionary that zstandard trains, repeated up to the size; samples too few or too alike serve as they are."""
     try:
         content = zstandard.train_dictionary(size, samples).as_bytes()[HEADER:]
     except zstandard.ZstdError:
-        content = b"".join(samples) or b" "
+        content = b""
+    if len(content) < size * LEAST_CONTENT:
+        content = b"".join(dict.fromkeys(samples)) or b" "
     return bytes(islice(cycle(content[-size:]), size))
 
 
@@ -114,8 +119,8 @@ def _grams(data: bytes) -> set[bytes]:
     return {data[i : i + NGRAM] for i in range(len(data) - NGRAM + 1)}
 
 
-def dictionaries(rows: list[tuple[str, int]]) -> tuple[bytes, bytes]:
-    """Ordinary and toxic dictionary."""
+def dictionaries(rows: list[tuple[str, int]]) -> tuple[bytes, bytes] | None:
+    """Ordinary and toxic dictionary; None if nothing sets toxic documents apart."""
     rows = _without_copies(rows)
     spans = [([f" {w} ".encode("utf-8", "surrogatepass") for w in text.lower().split()], label) for text, label in rows]
     seen = (Counter(), Counter())
@@ -126,6 +131,8 @@ def dictionaries(rows: list[tuple[str, int]]) -> tuple[bytes, bytes]:
     odds = {g: math.log((n + 0.5) / (many[1] + 1)) - math.log((seen[0][g] + 0.5) / (many[0] + 1)) for g, n in seen[1].items() if n >= max(2, SHARE * many[1])}
     telling = {g for g, o in odds.items() if o >= ODDS}
     toxic = [w for words, label in spans if label for w in words if not telling.isdisjoint(_grams(w))]
+    if not toxic:
+        return None
     plain = [w for words, label in spans if not label for w in words]
     common = _trained(_runs(plain), COMMON_BYTES)
     return bytes(PART_BYTES) + common, _trained(toxic, PART_BYTES) + common
@@ -168,14 +175,17 @@ def calibrate(found: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
 
 
 def fit(rows: list[tuple[str, int]]) -> Model | None:
-    """Dictionaries from two thirds of the rows, calibration on the last third; None if a class is missing."""
+    """Dictionaries from two thirds of the rows, calibration on the last third; None if a class is missing or has no span of its own."""
     if len({k for _, k in rows}) < 2:
         return None
     learn = [r for i, r in enumerate(rows) if i % 3]
     test = [r for i, r in enumerate(rows) if i % 3 == 0]
     if len({k for _, k in test}) < 2 or len({k for _, k in learn}) < 2:
         learn = test = rows
-    ordinary, toxic = dictionaries(learn)
+    made = dictionaries(learn)
+    if made is None:
+        return None
+    ordinary, toxic = made
     found = np.array([gains(t, ordinary, toxic) for t, _ in test], dtype=float)
     return Model(ordinary, toxic, *calibrate(found, np.array([k for _, k in test])))
 

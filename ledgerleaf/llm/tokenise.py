@@ -12,7 +12,7 @@ import os
 import re
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -20,10 +20,13 @@ import numpy as np
 CACHE_WORDS = 500_000
 #: Characters encoded at a time: bounds the word lists of very long texts.
 BLOCK_CHARS = 4_000_000
+#: Runs of letters that are encoded as one text.
+RUNS_TOGETHER = 1000
 
 #: Letters and marks of which every version of Unicode knows the kind; U+0130 is left out, as its lower case is two.
 _LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+", r"[!-/:-@\[-`{-~]*"
 _SIMPLE = re.compile(f"({_LETTERS})({_MARKS})\\Z").match
+_RUN = re.compile(f"{_LETTERS}\\Z").match
 #: White space to Python that the tokenizers' patterns may take for something else.
 _ODD = re.compile("[\x1c-\x1f\x85]")
 
@@ -55,8 +58,9 @@ class Encoder:
         self.cache_words = cache_words
         #: By word: with the space before it if the vocabulary has such tokens; and without.
         self.lead = " " if self.spaced else ""
-        self.known: dict[str, bytes] = {}
-        self.bare = {} if self.spaced else self.known
+        #: And by unit, see ``_units``; None for units that can only be encoded with what is around them.
+        self.known: dict[str, bytes | None] = {}
+        self.bare: dict[str, bytes] = {} if self.spaced else self.known
         self.newline = self._ids("\n")
         self.folds = self._ids("Aa") == self._ids("aa")
         size = max(self.tokenizer.get_vocab().values()) + 1
@@ -75,75 +79,95 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Ids of unknown words: a run of letters and what punctuation follows it are encoded apart, as the pattern does."""
-        parts = {w: (m[1].lower() if self.folds and m[1].isascii() else m[1], m[2]) for w in words if (m := _SIMPLE(w))}
-        self._learn_letters({stem for stem, _ in parts.values()}.difference(self.known))
+        plain = set() if self.folds else {w for w in words if w.isalpha() and _RUN(w)}
+        parts = {w: (m[1].lower() if self.folds and m[1].isascii() else m[1], m[2]) for w in words.difference(plain) if (m := _SIMPLE(w))}
+        self._learn_letters(plain.union(stem for stem, _ in parts.values()).difference(self.known))
         self._encode_each(list({tail for _, tail in parts.values() if tail}.difference(self.bare)), "", self.bare)
-        self._encode_each(list((words - parts.keys()).difference(self.known)), self.lead, self.known)
-        for word, (stem, tail) in parts.items():
-            self.known[word] = self.known[stem] + self.bare[tail] if tail else self.known[stem]
+        self._encode_each(list(words.difference(plain, parts, self.known)), self.lead, self.known)
+        known, bare = self.known, self.bare
+        known.update([(word, known[stem] + bare[tail] if tail else known[stem]) for word, (stem, tail) in parts.items()])
 
     def _learn_letters(self, stems: set[str]) -> None:
         """Many runs of letters in one text: every run starts, or ends, with a token that no other place has."""
         todo = list(stems)
-        for at in range(0, len(todo), 1000):
-            batch = todo[at : at + 1000]
-            ids = np.array(self.tokenizer.encode(self.lead + " ".join(batch), add_special_tokens=False).ids, dtype="<u2")
-            edges = np.flatnonzero(self.edge[ids])
-            ends = np.append(edges[1:], len(ids)) if self.spaced else edges + 1
-            if len(ends) == len(batch):
-                data, begin = ids.tobytes(), 0
-                for stem, end in zip(batch, (2 * ends).tolist()):
-                    self.known[stem] = data[begin:end]
-                    begin = end
-            else:
-                self.known.update((stem, self._ids(self.lead + stem)) for stem in batch)
-
-    def _lines(self, text: str) -> list[list[str]] | None:
-        """The words of each line, which can be encoded one by one; None if the text has to be encoded as a whole."""
+        batches = [todo[at : at + RUNS_TOGETHER] for at in range(0, len(todo), RUNS_TOGETHER)]
+        for at in range(0, len(batches), 16):
+            some = batches[at : at + 16]
+            found = self.tokenizer.encode_batch_fast([self.lead + " ".join(batch) for batch in some], add_special_tokens=False)
+            for batch, encoded in zip(some, found):
+                ids = np.array(encoded.ids, dtype="<u2")
+                edges = np.flatnonzero(self.edge[ids])
+                ends = np.append(edges[1:], len(ids)) if self.spaced else edges + 1
+                if len(ends) == len(batch):
+                    data, cuts = ids.tobytes(), [0, *(2 * ends).tolist()]
+                    self.known.update([(stem, data[a:b]) for stem, a, b in zip(batch, cuts, cuts[1:])])
+                else:
+                    self.known.update([(stem, self._ids(self.lead + stem)) for stem in batch])
+
+    def _units(self, text: str) -> list[str] | None:
+        """Pieces that can be encoded one by one; None if the text has to be encoded as a whole.
+
+        Where spaces belong to tokens, pieces begin at a space, which they lose, or at one or two line ends, which they keep.
+        """
         if "<|" in text:  # may spell a special token
             return None
-        words = text.split()
         if not self.spaced:
-            return None if _ODD.search(text) else [words]
-        lines = [line.split(" ") for line in text.split("\n")]
-        # single spaces and line ends between words, and no other white space
-        return lines if [w for line in lines for w in line] == words else None
+            return None if _ODD.search(text) else text.split()
+        return text.replace("\n", " \n").replace("\n \n", "\n\n").split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        group: list[tuple[int, list[list[str]]]] = []
+        group: list[tuple[int, list[str]]] = []
         held = 0
         for i, text in enumerate(texts):
             if not text:
                 continue
-            lines = self._lines(text)
-            if lines is None:
+            units = self._units(text)
+            if units is None:
                 out[i] = self._ids(text)
                 continue
-            group.append((i, lines))
+            group.append((i, units))
             held += len(text)
             if held > BLOCK_CHARS:
-                self._finish(group, out)
+                self._finish(group, texts, out)
                 group, held = [], 0
-        self._finish(group, out)
+        self._finish(group, texts, out)
         return out
 
-    def _finish(self, group: list[tuple[int, list[list[str]]]], out: list[bytes]) -> None:
-        # a line's first word has no space before it
-        skip = 1 if self.spaced else 0
-        wanted = set(chain.from_iterable(line[skip:] for _, lines in group for line in lines))
-        first = {line[0] for _, lines in group for line in lines} if skip else set()
-        if len(self.known) + len(self.bare) > self.cache_words:
+    def _learn_units(self, units: set[str], first: set[str]) -> None:
+        """Units by their words. Those with other white space at an end, or with none but that, depend on their surroundings."""
+        words = {u for u in units if u and u == u.strip()}
+        parts, bare = {}, {w for w in first if w and w == w.strip()}
+        for unit in units.difference(words):
+            word = unit.lstrip("\n")
+            ends = len(unit) - len(word)
+            if word and 0 < ends <= 2 and word == word.strip():
+                parts[unit] = (ends, word)
+                bare.add(word)
+            else:
+                self.known[unit] = None
+        self._learn(words)
+        self._encode_each(list(bare.difference(self.bare)), "", self.bare)
+        self.known.update([(unit, self.newline * ends + self.bare[word]) for unit, (ends, word) in parts.items()])
+
+    def _finish(self, group: list[tuple[int, list[str]]], texts: list[str], out: list[bytes]) -> None:
+        if len(self.known) + len(self.bare) * self.spaced > self.cache_words:
             self.known.clear()
             self.bare.clear()
-        self._learn(wanted.difference(self.known))
-        self._encode_each(list(first.difference(self.bare)), "", self.bare)
+        wanted = set(chain.from_iterable(units for _, units in group)).difference(self.known)
         look = self.known.__getitem__
-        for i, lines in group:
-            if skip:
-                out[i] = self.newline.join([self.bare[line[0]] + b"".join(map(look, line[1:])) for line in lines])
-            else:
-                out[i] = b"".join(map(look, lines[0]))
+        if not self.spaced:
+            self._learn(wanted)
+            for i, words in group:
+                out[i] = b"".join(map(look, words))
+            return
+        # a text's first word has no space before it
+        self._learn_units(wanted, {units[0] for _, units in group}.difference(self.bare))
+        for i, units in group:
+            try:
+                out[i] = self.bare[units[0]] + b"".join(map(look, islice(units, 1, None)))
+            except (KeyError, TypeError):  # a unit that depends on its surroundings
+                out[i] = self._ids(texts[i])
 
 
 @lru_cache(maxsize=4)

@@ -4,15 +4,15 @@ Each source asks for its share of the total by weight. A source that would need
 documents is clamped there, and what it cannot take is shared among the others by weight, until none is above its cap.
 A source is then repeated ``floor(target / size)`` times whole, and the fraction that is left is taken from the front of
 a seeded order of its documents. The order is cut by weight: the documents of a source fall into ``BUCKETS`` buckets by
-a seeded hash, sizes are summed per bucket, and buckets are taken up to the one whose end lies closest to the wanted
-size. So a source misses its target by half of its largest bucket at most: half a document of a small source and about
-1/100,000 of a large one if ids are distinct. Rows of one id, and all rows without id, are one bucket, so a source made
-up of such rows can miss its target by up to half of their size.
+a seeded hash of id and text, sizes are summed per bucket, and buckets are taken up to the one whose end lies closest to
+the wanted size. So a source misses its target by half of its largest bucket at most: half a document of a small source and
+about 1/100,000 of a large one, whether ids are distinct, repeated or null. Only rows that repeat id and text are one
+bucket whatever their number.
 
 Nothing but one row per source and bucket is ever gathered, with partial sums before the shuffle.
 
 Defined cases. A null text has size 0; a null source is a source of its own and comes last in order. Documents without
-words are taken as often as their bucket. Repeated rows share a bucket and are taken alike. An empty table, or one
+words are taken as often as their bucket. Rows of one id and text share a bucket and are taken alike. An empty table, or one
 without words, takes nothing. Other columns are carried along by ``mixed`` and may have any names.
 """
 
@@ -37,9 +37,9 @@ def size_of(text: Column) -> Column:
     return F.regexp_count(text_of(text), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 
 
-def bucket_of(doc_id: Column, seed: int = SEED) -> Column:
-    """Sixteen bits of the md5 of seed and id: the same in every engine and run."""
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def bucket_of(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    """Sixteen bits of the md5 of seed, id and text: the same in every engine and run."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|"), text_of(text)).cast("binary"))
     return F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
 
 
@@ -104,7 +104,7 @@ def mixture(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             size_of(F.col(text_col)).alias("size"),
-            bucket_of(F.col(id_col), seed).alias("bucket"),
+            bucket_of(F.col(id_col), F.col(text_col), seed).alias("bucket"),
         ),
         "mix-sizes",
     )
@@ -119,12 +119,12 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: every row as often as it is taken, with the columns it came with."""
     row = whole_rows(documents)
-    doc_id, source = F.col(f"row.`{id_col}`"), F.col(f"row.`{source_col}`")
-    sized = row.select(source.alias("source"), size_of(F.col(f"row.`{text_col}`")).alias("size"), bucket_of(doc_id, seed).alias("bucket"))
+    doc_id, text, source = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"), F.col(f"row.`{source_col}`")
+    sized = row.select(source.alias("source"), size_of(text).alias("size"), bucket_of(doc_id, text, seed).alias("bucket"))
     per_source = materialise(plan(sized, weights, max_epochs), "mix-plan").withColumnRenamed("source", "of")
     times = _times().cast("int")
     return (
-        row.withColumn("bucket", bucket_of(doc_id, seed))
+        row.withColumn("bucket", bucket_of(doc_id, text, seed))
         .join(per_source, source.eqNullSafe(F.col("of")))
         .filter(times > 0)
         .select("row", F.explode(F.array_repeat(F.lit(0), times)))

@@ -150,7 +150,7 @@ SELECT doc_id, keep_id, group_size, r = keep_r AS kept, text_sha256 FROM g
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 4) AS INTEGER) AS bucket
+    CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 4) AS INTEGER) AS bucket
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source

@@ -16,8 +16,8 @@ from itertools import chain, islice
 
 import numpy as np
 
-#: Entries of a worker's cache, about 250 bytes each; beyond them the cache starts anew.
-CACHE_WORDS = 500_000
+#: Entries of a worker's cache, about 200 bytes each; beyond them the cache starts anew.
+CACHE_WORDS = 1_000_000
 #: Characters encoded at a time: bounds the word lists of very long texts.
 BLOCK_CHARS = 4_000_000
 #: Runs of letters that are encoded as one text.

@@ -13,9 +13,12 @@ A notice that does not fill its unit is found by windows over the words of the w
 through: kind ``window``, with the number of the window's first word as ``unit_no``. Windows start and end with bigrams of
 their template and have the sizes that can reach the threshold; those that do are taken best first, and no two that are
 taken overlap. What units have found is not told twice: windows inside a unit found, or of its license and overlapping
-it, are left out. A template needs two thirds of its bigrams (at 0.8), so some bigrams of it cannot all be missing; texts
-without any such bigram have no window and are left after one look. Of the others, words are paired and joined with the
-templates' bigrams, and all that follows works on those hits, not on texts.
+it, are left out.
+
+A template needs two thirds of its bigrams (at 0.8), so some bigrams of it cannot all be missing. Texts without any such
+bigram hold no unit and no window that matches and are left after one look, by one pattern of all those bigrams. Of the
+others, units are compared as above; for windows words are paired and joined with the templates' bigrams, and all that
+follows works on those hits, not on texts.
 
 Defined cases. A null text counts as empty and matches nothing; units without a bigram match nothing. Texts of any
 length are scanned whole. Repeated rows give repeated results; null ids are carried along. An empty table gives an empty
@@ -27,7 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,24 +222,11 @@ def _candidates(hits: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _windows(documents: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """The windows that a template matches and no unit has told of."""
-    spark = documents.sparkSession
-    table = _by_gram(spark, templates, threshold)
-    if table is None:
-        return spark.createDataFrame([], documents.select("doc_id").schema.add("kind", "string").add("unit_no", "long").add("license", "string").add("dice", "double"))
-    known, anchors = materialise(table[0], "template-grams"), table[1]
-    # the text is bound once: a plain condition would be pushed below the normalising and repeat it for every anchor
-    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    possible = F.exists(F.array(spaced), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(f" {gram} ")) for gram in anchors]))
-    asked = materialise(_normal(documents.filter(possible)).withColumn("row_no", F.monotonically_increasing_id()), "window-texts")
+def _windows(asked: DataFrame, known: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """The windows of (row_no, text) that a template matches and no unit has told of."""
     found = materialise(_candidates(_hits(asked, known), threshold), "windows")
-    concerned = asked.join(found.select("row_no").distinct(), "row_no", "left_semi")
-    told = (
-        _scan_units(concerned.select(F.col("row_no").alias("doc_id"), "text"), templates, threshold)
-        .groupBy(F.col("doc_id").alias("row_no"))
-        .agg(F.collect_list(F.struct("kind", F.col("unit_no").cast("int").alias("unit_no"), "license")).alias("told"))  # units of one text
-    )
+    # units of one text
+    told = units.groupBy("row_no").agg(F.collect_list(F.struct("kind", F.col("unit_no").cast("int").alias("unit_no"), "license")).alias("told"))
     inside = lambda u, c: (u.kind == c) & (u.unit_no >= F.col(f"{c}_a")) & (u.unit_no <= F.col(f"{c}_z"))
     alone = lambda c: F.col(f"{c}_a") == F.col(f"{c}_z")
     covers = lambda u, c: inside(u, c) & (alone(c) | (u.license == F.col("license")))
@@ -247,19 +237,37 @@ def _windows(documents: DataFrame, templates: dict[str, str], threshold: float)
     listed_all = new.groupBy("row_no").agg(ordered.alias("all"))  # windows of one text
     nothing = F.filter("all", lambda w: F.lit(False))
     taken = F.aggregate("all", nothing, lambda kept, w: F.when(apart(kept, w), F.concat(kept, F.array(w))).otherwise(kept))
-    chosen = listed_all.select("row_no", F.explode(taken).alias("w")).join(asked.select("row_no", "doc_id"), "row_no")
-    return chosen.select("doc_id", F.lit("window").alias("kind"), F.col("w.start").cast("long").alias("unit_no"), "w.license", (-F.col("w.minus")).alias("dice"))
+    return listed_all.select("row_no", F.explode(taken).alias("w")).select(
+        "row_no", F.lit("window").alias("kind"), F.col("w.start").cast("long").alias("unit_no"), "w.license", (-F.col("w.minus")).alias("dice")
+    )
 
 
-def _normal(rows: DataFrame) -> DataFrame:
+def _normal(text: Column) -> Column:
     """Lower case, with line ends, and one space for everything else that is no letter and no digit."""
-    return rows.withColumn("text", F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\n]+", " "))
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _possible(anchors: list[str]) -> str:
+    """A pattern for lower-case texts that hold one of the bigrams, branched by first letter."""
+    other = r"[^\p{L}\p{N}]"
+    branches = [f"{letter}(?:{'|'.join(g[1:].replace(' ', f'{other}+') for g in grams)})" for letter, grams in groupby(sorted(anchors), key=lambda g: g[0])]
+    return f"(?:^|{other})(?:{'|'.join(branches)})(?![\\p{{L}}\\p{{N}}])"
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, kind, unit_no, license and dice of every unit, and of every window elsewhere, that a template matches."""
     rows = documents.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
-    return _scan_units(_normal(rows), templates, threshold).unionByName(_windows(rows, templates, threshold))
+    table = _by_gram(documents.sparkSession, templates, threshold)
+    if table is None:
+        return rows.select("doc_id", F.lit("").alias("kind"), F.lit(0).cast("long").alias("unit_no"), F.lit("").alias("license"), F.lit(0.0).alias("dice")).filter("false")
+    known, anchors = materialise(table[0], "template-grams"), table[1]
+    # a unit or window that matches has one of these bigrams: other texts are left after this one look
+    possible = rows.filter(F.rlike(F.lower("text"), F.lit(_possible(anchors))))
+    asked = materialise(possible.select("doc_id", _normal(F.col("text")).alias("text")).withColumn("row_no", F.monotonically_increasing_id()), "license-texts")
+    units = _scan_units(asked.select(F.col("row_no").alias("doc_id"), "text"), templates, threshold).withColumnRenamed("doc_id", "row_no")
+    units = materialise(units, "license-units")
+    found = units.unionByName(_windows(asked, known, units, threshold))
+    return asked.select("row_no", "doc_id").join(found, "row_no").drop("row_no")
 
 
 def duckdb_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:

@@ -8,10 +8,12 @@ block's text over them. A text that every page repeats has entropy one and is un
 important. A content node, a text under an element node, has the mean of both, content weighing ``CONTENT_SHARE``.
 
 What a page keeps follows from the node's zone. Named noise (navigation, footers, asides, forms, and classes or ids
-that say so) weighs nothing and goes. Classes and ids never decide for html, body, article and main, nor for wrappers:
-elements that hold the page's article or main, or over half of the text of a page that has neither.
-Named content (article, main) is never below the threshold and stays, so that a passage that many articles share is not
-lost. Anything else goes where its host's importance is below ``THRESHOLD``.
+that say so) weighs nothing and goes. A class says so by the word it ends with, but for words such as "area" or "box"
+("site-footer", "ad-box"; not "has-sidebar", "related-work" or "elementor-widget-text"). Classes and ids never decide for
+html, body, article and main, nor for wrappers: elements that hold the page's article or main, or over half of the text of
+a page that has neither. Named content (article, main) is never below the threshold and stays, so that a passage that many
+articles share is not lost. Anything else goes where its host's importance is below ``THRESHOLD``, a header within main but
+outside any article too. A branch all of whose texts go is gone as a whole.
 
 Pages that agree in all blocks count once per host, so that copies do not make their own text unimportant. Counts are
 partial sums before every shuffle, and page texts are written once and only move if their host has branches to remove.
@@ -65,8 +67,16 @@ NOISE_WORDS = frozenset(
     "comment comments replies disqus widget pagination pager toolbar masthead copyright login search complementary contentinfo".split()
 )
 HEADER_WORDS = frozenset(["header"])
-
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+#: Words before which a noise word tells of something that is elsewhere on the page, or not there.
+ELSEWHERE = frozenset("has no not with without hide hidden show enable disable".split())
+#: Words behind a noise word that only say how its element is laid out.
+LAYOUT = frozenset(
+    "area bar block body bottom box button buttons column container content entry form group head holder icon icons inner item items left line link links "
+    "list message module outer overlay panel post posts right row section slot title top unit wrap wrapper zone".split()
+) | NOISE_WORDS | HEADER_WORDS
+
+_START = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+_STOP = re.compile("[>\"']")
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.I)
@@ -83,14 +93,16 @@ class Page(NamedTuple):
 
 
 class _Element:
-    __slots__ = ("children", "lost", "marks", "node", "saved", "tag", "zone")
+    __slots__ = ("children", "content", "lost", "named", "node", "saved", "tag", "under", "weight", "zone")
 
     def __init__(self, tag: str, node: int, zone: int, saved: list[str] | None = None):
         self.tag, self.node, self.zone, self.children = tag, node, zone, []
         #: What stood before it in its block, for noise inside a line.
         self.saved = saved
-        #: Whether it is noise by more than names, and the numbers of the elements around it, itself too, that are so by name.
-        self.lost, self.marks = False, ()
+        #: Whether it is noise by more than names; its number if it is so by name, and whether it or one around it is.
+        self.lost, self.named, self.under = False, 0, False
+        #: Characters of text in it that is not lost, and whether it holds an article or main.
+        self.weight, self.content = 0, False
 
 
 def _hash(*parts: object) -> int:
@@ -105,14 +117,62 @@ def _hidden(attributes: str) -> bool:
     return bool("hidden" in attributes.lower() and _BARE_HIDDEN.search(_QUOTED.sub('""', attributes)))
 
 
-def _zone(tag: str, words: set[str], hidden: bool, above: int) -> int:
+def noise_words(names: str) -> set[str]:
+    """The words by which classes, ids and roles call their element noise."""
+    found = set()
+    for name in names.split():
+        words = _WORDS.findall(name)
+        for k, word in enumerate(words):
+            # builders call every element a widget of theirs; only what begins so is one of a sidebar
+            if word in NOISE_WORDS or word in HEADER_WORDS:
+                if (word != "widget" or k == 0) and (k == 0 or words[k - 1] not in ELSEWHERE) and all(w in LAYOUT for w in words[k + 1 :]):
+                    found.add(word)
+    return found
+
+
+def _zone(tag: str, words: set[str], hidden: bool, above: int, article: bool) -> int:
+    """``article``: whether the nearest content element around it is an article, whose header is its own."""
     if above == NOISE or hidden or tag in NOISE_TAGS or words & NOISE_WORDS:
         return NOISE
     if above == CONTENT:
-        return CONTENT
+        return OPEN if tag == "header" and not article else CONTENT
     if tag in CONTENT_TAGS:
         return CONTENT
-    return NOISE if tag == "header" or words & HEADER_WORDS else OPEN
+    return NOISE if (tag == "header" and not article) or words & HEADER_WORDS else OPEN
+
+
+def _markup(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of each piece of markup; comments and declarations have no tag, and elements of
+    raw text are one piece.
+
+    A quote that is never closed is taken as any other character. Each character is looked at a bounded number of times:
+    whatever is not found once is not there later either.
+    """
+    position, size = 0, len(html)
+    closed = {'"': True, "'": True}
+    while found := _START.search(html, position):
+        start = found.start()
+        if found[1]:
+            end = html.find("-->", found.end())
+            position = size if end < 0 else end + 3
+            yield start, position, "", "", ""
+            continue
+        at = found.end()
+        while stop := _STOP.search(html, at):
+            quote, at = stop[0], stop.end()
+            if quote == ">":
+                break
+            if found[4] and closed[quote]:
+                end = html.find(quote, at)
+                closed[quote] = end >= 0
+                at = end + 1 if end >= 0 else at
+        if not stop:
+            return  # no end of markup from here on: the rest is text
+        position, slash, tag = at, found[3] or "", (found[4] or "").lower()
+        if tag in RAW and not slash:
+            closing = re.compile(f"</{tag}", re.I).search(html, at)
+            position = (html.find(">", closing.end()) if closing else -1) + 1 or size
+        yield start, position, slash, tag, html[found.end() : at - 1]
 
 
 def parse(html: str) -> Page:
@@ -126,20 +186,18 @@ def _parse(html: str, wrappers: frozenset[int]) -> tuple[Page, frozenset[int]]:
 
     Those hold the page's article or main; on a page without either, more than half of its text outside noise elements.
     """
-    root, number, named, wrapping, weight = _Element("", 0, OPEN), 0, Counter(), set(), 0
+    root, number, named, wrapping = _Element("", 0, OPEN), 0, {}, set()
     stack, blocks, held, content = [root], [], [], False
+    opened: Counter[str] = Counter()
     shown: Counter[tuple[int, int, int]] = Counter()
 
     def flush() -> None:
-        nonlocal weight
         text = _SPACE.sub(" ", "".join(held)).strip()
         held.clear()
         if text:
             at = stack[-1]
             if not at.lost:
-                weight += len(text)
-                for mark in at.marks:
-                    named[mark] += len(text)
+                at.weight += len(text)
             feature = _hash(text)
             shown[at.node, 1, feature] += 1
             if at.zone != NOISE:
@@ -153,26 +211,24 @@ def _parse(html: str, wrappers: frozenset[int]) -> tuple[Page, frozenset[int]]:
             if element.saved is not None:
                 held.extend(element.saved)
             shown[element.node, 0, _hash(*element.children)] += 1
+            if element.named:
+                named[element.named] = element.weight
+            opened[element.tag] -= 1
             stack.pop()
+            stack[-1].weight += element.weight
 
     position = 0
-    while position < len(html):
-        found = _MARKUP.search(html, position)
-        end = found.start() if found else len(html)
-        if end > position:
-            held.append(entities.unescape(html[position:end]))
-        if not found:
-            break
-        position = found.end()
-        if not found[2]:
+    for start, end, slash, tag, attributes in _markup(html):
+        if start > position:
+            held.append(entities.unescape(html[position:start]))
+        position = end
+        if not tag:
             continue
-        tag = found[2].lower()
-        if found[1]:
+        if slash:
             if tag in SPACES:
                 held.append(" ")
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                close(depth)
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         if tag in SPACES:
             held.append(" ")
@@ -180,34 +236,34 @@ def _parse(html: str, wrappers: frozenset[int]) -> tuple[Page, frozenset[int]]:
             flush()
         if tag in CLOSES:
             ends, holders = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ends) else ():
                 if stack[i].tag in ends:
                     close(i)
                     break
                 if stack[i].tag in holders:
                     break
-        if tag in RAW:
-            closing = re.compile(f"</{tag}[^>]*>", re.I).search(html, position)
-            position = closing.end() if closing else len(html)
-            continue
-        if tag in VOID:
+        if tag in RAW or tag in VOID:
             continue
         # inline markup has no node of its own: its text belongs to the block it stands in
-        if tag not in BLOCKS and tag not in NOISE_TAGS and not _NAMES.search(found[3]) and not _hidden(found[3]):
+        if tag not in BLOCKS and tag not in NOISE_TAGS and not _NAMES.search(attributes) and not _hidden(attributes):
             continue
-        names = " ".join(m[2].strip("\"'") for m in _NAMES.finditer(found[3])).lower()
+        names = " ".join(m[2].strip("\"'") for m in _NAMES.finditer(attributes)).lower()
         label = f"{tag} {names}".strip()
         above = stack[-1]
-        words, hidden = set(_WORDS.findall(names)), _hidden(found[3])
+        words, hidden = noise_words(names), _hidden(attributes)
         number += 1
         if tag in WHOLE_TAGS or number in wrappers:
             words = set()
-        zone = _zone(tag, words, hidden, above.zone)
-        lost = above.lost or hidden or tag in NOISE_TAGS or tag == "header" and not above.marks and zone == NOISE
-        marks = (*above.marks, number) if words & (NOISE_WORDS | HEADER_WORDS) else above.marks
+        zone = _zone(tag, words, hidden, above.zone, opened["article"] > 0)
+        lost = above.lost or hidden or tag in NOISE_TAGS or tag == "header" and not above.under and zone == NOISE
         if tag in CONTENT_TAGS and not lost:
-            wrapping.update(above.marks)
             content = True
+            for around in reversed(stack):
+                if around.content:
+                    break
+                around.content = True
+                if around.named:
+                    wrapping.add(around.named)
         saved = None
         if tag not in BLOCKS:
             if zone == above.zone:
@@ -220,11 +276,14 @@ def _parse(html: str, wrappers: frozenset[int]) -> tuple[Page, frozenset[int]]:
         if not above.children or above.children[-1] != label:
             above.children.append(label)
         stack.append(_Element(tag, _hash(above.node, label), zone, saved=saved))
-        stack[-1].lost, stack[-1].marks = lost, marks
+        stack[-1].lost, stack[-1].named, stack[-1].under = lost, number if words else 0, above.under or bool(words)
+        opened[tag] += 1
+    if position < len(html):
+        held.append(entities.unescape(html[position:]))
     flush()
     close(1)
     if not content:
-        wrapping = {mark for mark, held in named.items() if 2 * held > weight}
+        wrapping = {mark for mark, held in named.items() if 2 * held > root.weight}
     return Page(blocks, [(*key, times) for key, times in shown.items()]), frozenset(wrapping)
 
 

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from ledgerleaf.operators import sizing
 
 TOP_K = 5
+#: Places of a score as it is shown. Ranks go by the score itself, but for the noise of its last digits: equal texts tie.
 SCORE_PLACES = 6
+RANK_PLACES = 12
 CHUNK_KEYS = ("file_id", "chunk_index")
 
 CHUNKS_PER_BLOCK = 20_000
@@ -35,7 +37,7 @@ QUERIES_AT_ONCE = 256
 
 
 def score(embedding: Column, vector: Sequence[float]) -> Column:
-    """Cosine similarity with a fixed vector, rounded so that equal texts tie exactly.
+    """Cosine similarity with a fixed vector, to the places that decide ranks.
 
     Null for null and zero vectors and for vectors of another width. One matrix product per Arrow batch: at 1024
     numbers per vector about ten times faster than higher-order functions, which box every number.
@@ -55,7 +57,7 @@ def score(embedding: Column, vector: Sequence[float]) -> Column:
         )
         return pa.array(out, mask=np.isnan(out))
 
-    return F.round(cosine(embedding), SCORE_PLACES)
+    return F.round(cosine(embedding), RANK_PLACES)
 
 
 def fitting(embedding: Column, width: int) -> Column:
@@ -72,7 +74,8 @@ def top_k(
     Rows without a score sort last and are dropped behind the limit: a test before it would score every row twice.
     """
     scored = chunks.withColumn("score", score(fitting(F.col("embedding"), len(vector)), vector)).drop("embedding")
-    return scored.orderBy(F.desc_nulls_last("score"), *keys).limit(k).where(F.col("score").isNotNull())
+    best = scored.orderBy(F.desc_nulls_last("score"), *keys).limit(k).where(F.col("score").isNotNull())
+    return best.withColumn("score", F.round("score", SCORE_PLACES))
 
 
 def available_chunks(chunks: DataFrame, registry: DataFrame) -> DataFrame:
@@ -131,7 +134,7 @@ def _best_of_some(corpus: pa.Table, asked: pa.Table, query_id: str, keep: Sequen
     schema = pa.schema([*fields, pa.field("score", pa.float64())])
     if corpus.num_rows == 0 or asked.num_rows == 0:
         return schema.empty_table()
-    scores = np.round(_unit_rows(asked, "query_embedding") @ _unit_rows(corpus, "embedding").T, SCORE_PLACES)
+    scores = np.round(_unit_rows(asked, "query_embedding") @ _unit_rows(corpus, "embedding").T, RANK_PLACES)
     scores = np.where(np.isnan(scores), -np.inf, scores)
     at = max(corpus.num_rows - k, 0)
     bars = np.partition(scores, at, axis=1)[:, at]
@@ -205,7 +208,8 @@ def batch_top_k(
         group = [tenant, "cblock", "qblock"]
         partial = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(best_of_block, out_schema)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), *keys)
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("score", F.round("score", SCORE_PLACES))
 
 
 def _scan(

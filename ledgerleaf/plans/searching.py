@@ -24,10 +24,10 @@ _AVAILABLE = "file_id IN (SELECT file_id FROM docs WHERE processing_status = 'AV
 @query(
     "vector_topk",
     with_tables("docs", "chunks")
-    + f"""SELECT file_id, chunk_index, chunk_text,
-  round(list_cosine_similarity(embedding, {QUERY_VECTOR}::DOUBLE[]), 6) AS score
-FROM chunks WHERE client_account_id = '{CLIENT}' AND {_AVAILABLE}
-ORDER BY score DESC, file_id, chunk_index LIMIT 5""",
+    + f"""SELECT file_id, chunk_index, chunk_text, round(s, 6) AS score
+FROM (SELECT *, round(list_cosine_similarity(embedding, {QUERY_VECTOR}::DOUBLE[]), 12) AS s FROM chunks)
+WHERE client_account_id = '{CLIENT}' AND {_AVAILABLE}
+ORDER BY s DESC, file_id, chunk_index LIMIT 5""",
 )
 def vector_topk(t: Tables) -> DataFrame:
     top = similarity.tenant_top_k(t.chunks, t.registry, CLIENT, QUERY_VECTOR)
@@ -40,12 +40,12 @@ _BATCH_SQL = (
         "chunks",
         also=f"""pairs AS (
   SELECT q.vec_id AS query_id, c.client_account_id, c.file_id, c.chunk_index,
-    round(list_cosine_similarity(q.embedding, c.embedding), 6) AS score
+    round(list_cosine_similarity(q.embedding, c.embedding), 12) AS score
   FROM chunks q JOIN chunks c ON q.client_account_id = c.client_account_id WHERE c.{_AVAILABLE}),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, file_id, chunk_index) AS rank FROM pairs)""",
     )
-    + "SELECT * FROM ranked WHERE rank <= 5"
+    + "SELECT * REPLACE (round(score, 6) AS score) FROM ranked WHERE rank <= 5"
 )
 
 
@@ -88,7 +88,7 @@ products AS (
   FROM query_vectors q JOIN chunk_vectors c USING (client, bucket)
   WHERE {_AVAILABLE} GROUP BY ALL),
 scored AS (
-  SELECT item_id, client, file_id, chunk_index, round(product / (ql.len * cl.len), 6) AS score
+  SELECT item_id, client, file_id, chunk_index, round(product / (ql.len * cl.len), 12) AS score
   FROM products JOIN query_lengths ql USING (item_id) JOIN chunk_lengths cl USING (file_id, chunk_index)),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, file_id, chunk_index) AS rank FROM scored),
@@ -101,7 +101,7 @@ candidates AS (
 chosen AS (
   SELECT item_id, arg_max(file_id, shared * 10 - rank) AS file_id, max(shared) AS shared, any_value(n) AS n,
     count(*) AS result_count,
-    list(CAST(round(CAST(score AS DECIMAL(10,6)), 4) AS DOUBLE) ORDER BY rank) AS top_scores
+    list(CAST(round(CAST(round(score, 6) AS DECIMAL(10,6)), 4) AS DOUBLE) ORDER BY rank) AS top_scores
   FROM candidates GROUP BY item_id)
 """
 

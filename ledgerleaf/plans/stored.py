@@ -104,6 +104,27 @@ def reconcile_surcharges(t: Tables) -> DataFrame:
     return measures.reconcile_surcharges(rows).select("l_orderkey", "l_linenumber", "failed_checks")
 
 
+@query(
+    "reconcile_income",
+    """SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 4 THEN 'net' WHEN 5 THEN 'processing_fee' ELSE 'net,processing_fee' END AS failed_checks
+FROM lineitem WHERE l_linenumber IN (4, 5, 6)""",
+)
+def reconcile_income(t: Tables) -> DataFrame:
+    """Income rows of every line item: the net is off on 4, the fee on 5, and on 6 the fee is missing and the net off."""
+    gross = F.col("l_extendedprice").cast("decimal(18,2)")
+    off = lambda *lines: F.when(F.col("l_linenumber").isin(*lines), F.lit("0.02")).otherwise(F.lit("0.00")).cast("decimal(4,2)")
+    withheld = measures.withheld(gross, F.lit("15").cast("decimal(6,2)"))
+    rows = t.raw("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        gross.alias("gross_amount_usd"),
+        withheld.alias("tax_withheld_usd"),
+        (measures.income_net(gross, withheld) + off(4, 6)).alias("net_amount_usd"),
+        F.when(F.col("l_linenumber") != 6, measures.processing_fee(gross) + off(5)).alias("processing_fee_usd"),
+    )
+    return measures.reconcile_income(rows).select("l_orderkey", "l_linenumber", "failed_checks")
+
+
 @query(
     "classification_prompts",
     with_tables("docs")

@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +54,38 @@ def _own_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix="ledgerleaf-")
 
 
+#: Folder of the run that is under way, below that of the application.
+_RUN: ContextVar[str] = ContextVar("ledgerleaf-run", default="")
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/ledgerleaf-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new place for an intermediate table, below the application's own folder."""
+    return "/".join(filter(None, (_application_dir(spark), _RUN.get(), f"{label}-{uuid.uuid4().hex}")))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Deletes the intermediate tables that were made inside, once their results are stored elsewhere or collected.
+
+    DataFrames that jobs return read those tables when they run: store what is wanted before the end. Runs inside runs are
+    deleted with the outer one. What streaming batches make belongs to the application: see ``clean``.
+    """
+    folder = f"{_RUN.get()}/run-{uuid.uuid4().hex}".lstrip("/")
+    token = _RUN.set(folder)
+    try:
+        yield f"{_application_dir(spark)}/{folder}"
+    finally:
+        _RUN.reset(token)
+        remove(spark, f"{_application_dir(spark)}/{folder}")
+
+
+def clean(spark: SparkSession) -> bool:
+    """Deletes all intermediate tables of this application, at its end."""
+    return remove(spark, _application_dir(spark))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerleaf import schemas, sinks
+from ledgerleaf import schemas, session, sinks
 from ledgerleaf.functions.times import utc_now
 from ledgerleaf.measured import observed, timed
 from ledgerleaf.operators import embed, models, search, similarity, views
@@ -68,6 +68,17 @@ def test_measured_search_and_its_audit(spark, tmp_path):
     assert none.metrics == {"queries": 0, "answered": 0, "unanswered": 0, "candidates": 0} and none.result.count() == 0
 
 
+def test_scratch_folders_go(spark):
+    with session.scratch(spark) as folder:
+        kept = session.materialise(spark.range(5), "kept")
+        with session.scratch(spark) as inner:
+            session.materialise(spark.range(3), "inner")
+            assert inner.startswith(folder) and session.folders(spark, inner)
+        assert kept.count() == 5 and not session.folders(spark, inner) and kept.inputFiles()[0].startswith("file:") and folder in kept.inputFiles()[0]
+    assert session.folders(spark, folder) == []
+    assert "run-" not in session.new_path(spark, "outside")
+
+
 # -- batches --------------------------------------------------------------------------------------------------------------------
 def test_a_batch_is_in_the_table_once(spark, tmp_path):
     table = sinks.BatchTable(spark, str(tmp_path / "t"), rows_of(spark, ("a", "p", 1)).schema, ("part",))

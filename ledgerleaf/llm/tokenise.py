@@ -40,6 +40,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 16-bit ids.
 
@@ -112,7 +119,8 @@ class Encoder:
         if "<|" in text:  # may spell a special token
             return None
         if not self.spaced:
-            return None if _ODD.search(text) else text.split()
+            # in Latin-1 lower case is the same to all, and words that begin sentences need not be learnt again
+            return None if _ODD.search(text) else (text.lower() if self.folds and _latin(text) else text).split()
         return text.replace("\n", " \n").replace("\n \n", "\n\n").split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -70,8 +70,7 @@ def landing_batches(t: Tables) -> DataFrame:
     batches += _drain(t, folder, out, checkpoint, later.count())
     landed = t.spark.read.schema("relative_path string, file_size bigint").parquet(out)
     counted = landed.select(_number(F.col("relative_path")).alias("file"), "file_size")
-    total = counted.agg(F.count(F.lit(1)).alias("listed"))
-    return counted.join(F.broadcast(total)).withColumn("batches", F.lit(batches).cast("bigint"))
+    return counted.withColumns({"listed": F.lit(landed.count()), "batches": F.lit(batches).cast("bigint")})
 
 
 def _drain(t: Tables, folder: str, out: str, checkpoint: str, at_once: int) -> int:

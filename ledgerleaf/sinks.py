@@ -80,7 +80,7 @@ class BatchTable:
         rows, commits = read_if_there(self.spark, f"{self.path}/rows", schema), self._commits()
         if rows is None or commits is None:
             return self.spark.createDataFrame([], T.StructType(schema.fields[:-1]))
-        kept = rows.join(F.broadcast(commits.select("batch", "attempt")), ["batch", "attempt"], "left_semi")  # a row per batch
+        kept = rows.join(commits.select("batch", "attempt"), ["batch", "attempt"], "left_semi")  # a row per batch
         return kept.select(*self.schema.names, "batch")
 
     def clean(self) -> int:

@@ -30,7 +30,7 @@ def candidates(
 def payload(due: DataFrame, files: DataFrame) -> DataFrame:
     """(account_id, archive_path, content) rows for the archive sink; ``files`` holds (location, content)."""
     narrow = due.select("account_id", "file_id", "file_name", F.col("current_location").alias("location"))
-    return files.select("location", "content").join(sizing.broadcast_if_small(narrow), "location").select(
+    return files.select("location", "content").join(sizing.broadcast_if_small(narrow, shuffled=True), "location").select(
         "account_id",
         "file_id",
         paths.archive_key(F.col("account_id"), F.col("file_id"), F.col("file_name")).alias("archive_path"),

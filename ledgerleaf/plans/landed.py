@@ -8,34 +8,43 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import extract, validate
 from ledgerleaf.plans.adapters import Tables, with_tables
 from ledgerleaf.plans.catalog import query
 from ledgerleaf.schemas import CUSTODY_REPORTS
-from ledgerleaf.session import new_path
+from ledgerleaf.session import materialise, new_path, spread
 from ledgerleaf.sources import custody, files, sidecars
 
 # -- one CSV file per supplier --------------------------------------------------------------------------------------------
 _CSV = "'id,name,nation' || chr(10) || s_suppkey || ',' || s_name || ',' || s_nationkey || chr(10)"
 
 
+#: Folders that files are dealt to. One for each file would take a store twice as long, and far longer to list.
+_FOLDERS = 16
+
+
 def _csv_rows(t: Tables) -> DataFrame:
-    return t.raw("supplier").select(
-        F.col("s_suppkey").alias("file"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")
-    )
+    return t.raw("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+
+
+def _file_per_row(rows: DataFrame, key: str, *columns: str) -> DataFrameWriter:
+    """A writer of one file for each row, in folders ``folder=<number>``; a store's time for each file is shared by all cores."""
+    dealt = spread(rows, key).withColumn("folder", F.col(key) % _FOLDERS)
+    return dealt.select("folder", *columns).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("folder")
 
 
 def _write_files(rows: DataFrame, folder: str, encoding: str = "UTF-8") -> str:
-    """A folder ``file=<number>`` with one CSV file for each row."""
-    rows.write.mode("append").option("header", "true").option("encoding", encoding).partitionBy("file").csv(folder)
+    """A folder with one CSV file for each row, whose first cell is ``id``."""
+    _file_per_row(rows, "id", *rows.columns).option("header", "true").option("encoding", encoding).csv(folder)
     return folder
 
 
-def _number(path: Column) -> Column:
-    return F.regexp_extract(path, r"file=(\d+)/", 1).cast("bigint")
+def _number(content: str = "content") -> Column:
+    """The first cell below the header, whatever the encoding."""
+    return F.regexp_extract(F.decode(content, "ISO-8859-1"), r"\n(\d+),", 1).cast("bigint")
 
 
 @query(
@@ -45,8 +54,12 @@ def _number(path: Column) -> Column:
 def files_scanned(t: Tables) -> DataFrame:
     """Files written, scanned and hashed next to the scan."""
     folder = _write_files(_csv_rows(t), new_path(t.spark, "incoming"))
-    found = files.fingerprint(files.scan_documents(t.spark, folder, "*.csv"), folder)
-    return found.select(_number(F.col("path")).alias("file"), "file_size", "actual_hash")
+    return _fingerprints(t, folder).select("file", "file_size", "actual_hash")
+
+
+def _fingerprints(t: Tables, folder: str) -> DataFrame:
+    scanned = files.scan_documents(t.spark, folder, "*.csv").withColumn("file", _number())
+    return files.fingerprint(scanned, folder, keep=("file",))
 
 
 @query(
@@ -59,7 +72,7 @@ def landing_batches(t: Tables) -> DataFrame:
     """A stream over files in two batches, started again without news, then with more files: every file once."""
     folder, out, checkpoint = (new_path(t.spark, n) for n in ("landing-files", "landing", "landing-checkpoint"))
     rows = _csv_rows(t)
-    first, later = rows.where("file % 2 = 0"), rows.where("file % 2 = 1")
+    first, later = rows.where("id % 2 = 0"), rows.where("id % 2 = 1")
     _write_files(first, folder)
     # half of the files at a time; a file is a row here
     at_once = max(1, math.ceil(first.count() / 2))
@@ -68,14 +81,14 @@ def landing_batches(t: Tables) -> DataFrame:
         batches += _drain(t, folder, out, checkpoint, at_once)
     _write_files(later, folder)
     batches += _drain(t, folder, out, checkpoint, later.count())
-    landed = t.spark.read.schema("relative_path string, file_size bigint").parquet(out)
-    counted = landed.select(_number(F.col("relative_path")).alias("file"), "file_size")
-    return counted.withColumns({"listed": F.lit(landed.count()), "batches": F.lit(batches).cast("bigint")})
+    landed = t.spark.read.schema("file bigint, file_size bigint").parquet(out)
+    return landed.withColumns({"listed": F.lit(landed.count()), "batches": F.lit(batches).cast("bigint")})
 
 
 def _drain(t: Tables, folder: str, out: str, checkpoint: str, at_once: int) -> int:
     """Runs the landing stream until nothing is left; gives the number of batches that had files."""
-    stream = files.start_landing(files.landing_stream(t.spark, folder, at_once), out, checkpoint).start()
+    listed = files.landing_stream(t.spark, folder, at_once, content=True).withColumn("file", _number()).drop("content")
+    stream = files.start_landing(listed, out, checkpoint).start()
     stream.awaitTermination()
     return sum(p["numInputRows"] > 0 for p in stream.recentProgress)
 
@@ -122,7 +135,7 @@ def sidecar_files(t: Tables) -> DataFrame:
     """The same from one JSON file per supplier."""
     folder = new_path(t.spark, "metadata")
     rows = t.raw("supplier").select("s_suppkey", _sidecar_json(F.col("s_suppkey"), F.col("s_name")).alias("value"))
-    rows.repartition("s_suppkey").write.partitionBy("s_suppkey").text(folder)
+    _file_per_row(rows, "s_suppkey", "value").text(folder)
     found = sidecars.parse_sidecars(
         t.spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="part-*")
     )
@@ -163,18 +176,19 @@ FROM supplier""",
 def files_validated(t: Tables) -> DataFrame:
     """Scanned files against sidecars with their true or a wrong hash, matched by folder and name as it was scanned."""
     folder = _write_files(_csv_rows(t), new_path(t.spark, "incoming"))
-    landed = files.fingerprint(files.scan_documents(t.spark, folder, "*.csv"), folder)
+    # listed once: the files are not read again for their names
+    landed = materialise(_fingerprints(t, folder), "fingerprints")
     content = F.concat(F.lit("id,name,nation\n"), F.concat_ws(",", "s_suppkey", "s_name", "s_nationkey"), F.lit("\n"))
     nation = F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))
     known = t.raw("supplier").select(
-        F.concat(F.lit("file="), F.col("s_suppkey").cast("string")).alias("account_id"),
+        F.col("s_suppkey").alias("file"),
         F.col("s_suppkey").cast("string").alias("file_id"),
         nation.alias("custody_country"),
         F.lit("E").alias("legal_entity_id"),
         F.when(F.col("s_suppkey") % 3 == 0, F.lit("0")).otherwise(F.sha2(content, 256)).alias("file_hash"),
     )
-    names = landed.select(F.col("path").alias("__path"), F.split_part("path", F.lit("/"), F.lit(-2)).alias("account_id"), F.split_part("path", F.lit("/"), F.lit(-1)).alias("file_name"))
-    meta = known.join(names.drop("__path"), "account_id").withColumns(
+    names = landed.select("file", F.split_part("path", F.lit("/"), F.lit(-2)).alias("account_id"), F.split_part("path", F.lit("/"), F.lit(-1)).alias("file_name"))
+    meta = known.join(names, "file").drop("file").withColumns(
         {"file_format": F.lit("CSV"), "destination": F.lit(None).cast("string"), "branch_id": F.lit("B"), "file_size": F.lit(0).cast("bigint"), "source_system": F.lit("S3")}
     )
     collections = t.raw("supplier").select(
@@ -186,7 +200,7 @@ def files_validated(t: Tables) -> DataFrame:
         (F.col("s_nationkey") % 2 == 0).alias("active_flag"),
     ).distinct()
     results = validate.validate(landed, meta, collections, match_on=("account_id", "file_name"))
-    return results.select(_number(F.col("path")).alias("file"), "reason")
+    return results.join(landed.select("path", "file"), "path").select("file", "reason")
 
 
 @query(
@@ -199,12 +213,12 @@ def files_extracted(t: Tables) -> DataFrame:
     """CSV files in UTF-8 and, of odd suppliers, in Latin-1: scanned, decoded and labelled."""
     folder = new_path(t.spark, "stage")
     rows = t.raw("supplier").select(
-        F.col("s_suppkey").alias("file"), F.col("s_suppkey").alias("id"), F.concat(F.lit("Überweisung "), "s_name").alias("name")
+        F.col("s_suppkey").alias("id"), F.concat(F.lit("Überweisung "), "s_name").alias("name")
     )
-    _write_files(rows.where("file % 2 = 0"), folder)
-    _write_files(rows.where("file % 2 = 1"), folder, "ISO-8859-1")
+    _write_files(rows.where("id % 2 = 0"), folder)
+    _write_files(rows.where("id % 2 = 1"), folder, "ISO-8859-1")
     scanned = files.scan_documents(t.spark, folder, "*.csv")
-    todo = scanned.select(_number(F.col("path")).cast("string").alias("file_id"), F.lit("CSV").alias("file_format"), F.col("path").alias("current_location"))
+    todo = scanned.select(_number().cast("string").alias("file_id"), F.lit("CSV").alias("file_format"), F.col("path").alias("current_location"))
     found = extract.extract_text(todo, scanned.select(F.col("path").alias("location"), "content"))
     return found.select(F.col("file_id").cast("bigint").alias("file"), "extracted_text", "error")
 

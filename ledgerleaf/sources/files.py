@@ -33,8 +33,8 @@ def relative_path(path: Column, root: str) -> Column:
     return F.substring_index(path, f"{tail}/", -1)
 
 
-def fingerprint(files: DataFrame, root: str) -> DataFrame:
-    """One narrow row per file: relative path, size and SHA-256.
+def fingerprint(files: DataFrame, root: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One narrow row per file: relative path, size and SHA-256, and the columns to keep.
 
     The hash is taken next to the scan, so document bytes never enter a shuffle. Files whose format is not
     supported are not read for hashing.
@@ -44,6 +44,7 @@ def fingerprint(files: DataFrame, root: str) -> DataFrame:
         relative_path(F.col("path"), root).alias("path"),
         F.col("length").alias("file_size"),
         F.when(supported, F.sha2("content", 256)).alias("actual_hash"),
+        *keep,
     )
 
 

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerleaf import plans
 from ledgerleaf.plans import landed
 
 SF = Path("/root/testdata/sf0.001")
@@ -12,6 +13,14 @@ SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="driver tables not present")
 
 
+@pytest.fixture(scope="module")
+def parts(spark, tmp_path_factory):
+    """Documents as a folder of files, as larger tables come."""
+    place = tmp_path_factory.mktemp("parts")
+    spark.read.parquet(str(SF / "documents.parquet")).repartition(3).write.parquet(str(place / "documents.parquet"))
+    return str(place)
+
+
 def test_files_share_few_folders_and_the_cores(spark, tmp_path):
     rows = spark.range(40).select("id", F.lit("n").alias("name")).coalesce(1)
     landed._write_files(rows, str(tmp_path / "out"))
@@ -19,3 +28,8 @@ def test_files_share_few_folders_and_the_cores(spark, tmp_path):
     assert len(found) == 40 and {f.read_text() for f in found} == {f"id,name\n{i},n\n" for i in range(40)}
     assert len({f.parent for f in found}) <= landed._FOLDERS < 40
     assert len({f.name.split("-")[1] for f in found}) > 1  # tasks
+
+
+def test_streams_read_tables_of_several_files(spark, parts):
+    one, several = (plans.load().QUERIES["landing_stream"](spark, d).collect() for d in (str(SF), parts))
+    assert sorted(several) == sorted(one) and one

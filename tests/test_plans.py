@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf import plans
-from ledgerleaf.plans import landed
+from ledgerleaf.plans import adapters, durable, landed
+from ledgerleaf.session import new_path
 
 SF = Path("/root/testdata/sf0.001")
 
@@ -33,3 +34,22 @@ def test_files_share_few_folders_and_the_cores(spark, tmp_path):
 def test_streams_read_tables_of_several_files(spark, parts):
     one, several = (plans.load().QUERIES["landing_stream"](spark, d).collect() for d in (str(SF), parts))
     assert sorted(several) == sorted(one) and one
+
+
+def test_chain_batches_are_many_files(spark, parts, monkeypatch):
+    """No file, and so no task, holds a batch's whole share of the input."""
+    places = {}
+
+    def named(spark, label):
+        return places.setdefault(label, new_path(spark, label)) if label == "landed" else new_path(spark, label)
+
+    monkeypatch.setattr(durable, "new_path", named)
+    tables = adapters.Tables(spark, parts)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))  # a partition for each file
+    try:
+        run = durable._chain(tables)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    landed_files = spark.read.parquet(places["landed"]).select(F.input_file_name().alias("f")).distinct().count()
+    assert landed_files == 3 * durable.BATCHES
+    assert run.runs.changes().select("batch_id").distinct().count() == durable.BATCHES

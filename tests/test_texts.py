@@ -85,6 +85,24 @@ def test_extraction_isolates_failures(spark):
         assert got["6"].error == "cannot read page"
 
 
+def test_texts_are_handed_on_in_bounded_pieces(spark, monkeypatch):
+    """However many documents an Arrow batch holds, a task keeps few of their texts."""
+    monkeypatch.setattr(extract, "CHARS_AT_ONCE", 20)
+    sizes = spark.sparkContext.accumulator(0)
+    made = extract._record_batch
+
+    def counted(read):
+        sizes.add(1)
+        return made(read)
+
+    monkeypatch.setattr(extract, "_record_batch", counted)
+    todo = spark.range(0, 50, numPartitions=1).select(F.col("id").cast("string").alias("file_id"), F.lit("X").alias("file_format"), F.col("id").cast("string").alias("current_location"))
+    files = todo.select(F.col("current_location").alias("location"), F.lit(b"0123456789").alias("content"))
+    found = extract.extract_text(todo, files, {"X": bytes.decode}).collect()
+    assert {(r.file_id, r.extracted_text) for r in found} == {(str(i), "0123456789") for i in range(50)}
+    assert sizes.value == 25
+
+
 def test_document_bytes_are_never_broadcast(spark, capsys):
     """Beyond the bound Spark would guess the bytes to be small, however many Python makes of a short row."""
     todo = spark.range(3).select(F.col("id").cast("string").alias("file_id"), F.lit("CSV").alias("file_format"), F.col("id").cast("string").alias("current_location"))

@@ -1,6 +1,8 @@
 import json
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +196,30 @@ def test_views_show_own_rows_once(spark):
     assert [r.file_id for r in mine.collect()] == ["1"] and "embedding" not in mine.columns
     classes = spark.createDataFrame([("1", "T", "high", "s", "[]", "x"), ("5", "T", "high", "s", "[]", "x")], "file_id string, document_type string, classification_confidence string, doc_summary string, key_indicators string, classified_ts string")
     assert [r.file_id for r in views.my_document_classifications(registry, classes, mapping, "C1").collect()] == ["1"]
+
+
+def test_embedder_holds_few_texts_at_a_time(spark):
+    """Of an Arrow batch of any size the model, and Python, see ``at_once`` texts at a time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def setup():
+        def vectors(texts):
+            seen.add(len(texts) > 3)
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return vectors
+
+    model = models.batched_embedder("lengths", 2, setup, at_once=3)
+    df = spark.range(0, 10, numPartitions=1).select("id", F.when(F.col("id") != 4, F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("t"))
+    got = {r.id: list(r.e) for r in df.select("id", model.encode(F.col("t")).alias("e")).collect()}
+    assert got == {i: [0.0 if i == 4 else float(i), 1.0] for i in range(10)} and seen.value == 0
+
+
+def test_scaling_and_scoring_hold_one_copy():
+    """Scaling many vectors makes the copy that it gives and no other of that size."""
+    table = pa.table({"v": pa.FixedSizeListArray.from_arrays(pa.array(np.ones(40_000 * 64)), 64)})
+    tracemalloc.start()
+    similarity._unit_rows(table, "v")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * 40_000 * 64 * 8

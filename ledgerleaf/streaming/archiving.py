@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerleaf import schemas
 from ledgerleaf.functions.times import ts_literal
-from ledgerleaf.operators import archive, state
+from ledgerleaf.operators import archive, sizing, state
+from ledgerleaf.session import materialise
 from ledgerleaf.sinks import BatchTable, ChangeLog
 
 STEPS_PER_RUN = 10
@@ -69,7 +70,7 @@ class ArchiveRuns:
 
     def _mark(self, seq: int, as_of) -> None:
         """ARCHIVING, in place. What is due is read from before this run, so repeating the phase finds the same documents."""
-        due = self.registry.current(before=seq).where(archive.is_expired(as_of, self.retention_days))
+        due = self.registry.passing(archive.is_expired(as_of, self.retention_days), before=seq)
         self.registry.write(due.withColumns({"processing_status": F.lit("ARCHIVING"), "updated_ts": ts_literal(as_of)}), seq)
         marked = self.registry.changes(only=seq)
         self.audit.write(self._audit_rows(marked, F.lit("ARCHIVING"), F.lit(None).cast("string"), as_of), seq)
@@ -87,18 +88,24 @@ class ArchiveRuns:
         return archive.outcomes(marked, moved)
 
     def _settle(self, marked: DataFrame, number: int, seq: int, as_of) -> None:
-        done = self._outcomes(marked, self._copies(self.stored.read().where(F.col("batch") == number)))
-        before = self.registry.current(before=seq, within=marked.select("file_id"))
+        # stored, as the registry, the audit and the alerts read it
+        done = materialise(self._outcomes(marked, self._copies(self.stored.read().where(F.col("batch") == number))), "archive-outcomes")
+        ids = marked.select("file_id")
+        # few documents are cut out ahead of the rank; many are met by the join with their outcomes, in the order of the rank
+        before = self.registry.current(before=seq, within=F.broadcast(ids) if sizing.is_small(ids) else None)
         self.registry.write(archive.registry_delta(before, done, as_of), seq)
         failed = F.col("error").isNotNull()
         self.audit.write(self._audit_rows(done, F.when(failed, F.lit("FAILED")).otherwise(F.lit("ARCHIVED")), F.col("error"), as_of), seq)
         self.alerts.write(archive.alerts(done), number)
 
     def recover(self, number: int, as_of) -> None:
-        """Settles what abandoned runs left ARCHIVING. Run it only when no run is under way."""
+        """Settles what abandoned runs left ARCHIVING. Run it only when no run is under way.
+
+        What is left, and how it ended, are stored: several joins read them, and a task would rank its share of the registry for each.
+        """
         seq = number * STEPS_PER_RUN + RECOVER
-        left = self.registry.current(before=seq).where(F.col("processing_status") == "ARCHIVING")
-        done = self._outcomes(left, self._copies(state.restrict(self.stored.read(), left, ["file_id"])))
+        left = materialise(self.registry.passing(F.col("processing_status") == "ARCHIVING", before=seq), "archive-left")
+        done = materialise(self._outcomes(left, self._copies(state.restrict(self.stored.read(), left, ["file_id"]))), "archive-outcomes")
         whole = done.where(F.col("error").isNull())
         settled = archive.registry_delta(left, whole, as_of)
         back = state.missing_from(left, whole, ["file_id"]).withColumns({"processing_status": F.lit("AVAILABLE"), "updated_ts": ts_literal(as_of)})

@@ -300,6 +300,62 @@ def test_marked_documents_are_seen_and_not_due_twice(spark, tmp_path):
     assert {r.status for r in runs.audit.changes().where("seq = 33").collect()} == {"ROLLED_BACK"}
 
 
+def test_archive_runs_rank_few_documents_once(spark, tmp_path, monkeypatch):
+    """A task never sorts its share of the registry once per join, nor documents that cannot be due."""
+    runs, plans, write = archive_of(spark, tmp_path), {}, sinks.ChangeLog.write
+
+    def watched(log, changes, seq, metrics=None):
+        if log is runs.registry:
+            plans[seq] = changes._jdf.queryExecution().optimizedPlan().toString()
+        return write(log, changes, seq, metrics)
+
+    monkeypatch.setattr(sinks.ChangeLog, "write", watched)
+    runs.run(1, contents(spark, "1"), "2024-01-01", until="store")
+    runs.run(1, contents(spark, "1"), "2024-01-01")
+    runs.run(2, contents(spark, "1"), "2024-01-01")
+    runs.recover(3, "2024-01-05")
+    ranks = {seq: plan.count("row_number() windowspec") for seq, plan in plans.items()}
+    assert set(ranks) == {11, 12, 21, 22, 33} and max(ranks.values()) == 1 and ranks[33] == 0
+    for seq in (11, 12, 21, 22):
+        below = plans[seq].partition("row_number() windowspec")[2]
+        assert "LeftSemi" in below and "strategy=broadcast" in below, plans[seq]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_archive_runs_end_alike_however_many_are_due(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(sinks.sizing, "is_small", lambda df, *bounds: few)
+    runs, plans, write = archive_of(spark, tmp_path), {}, sinks.ChangeLog.write
+
+    def watched(log, changes, seq, metrics=None):
+        if log is runs.registry:
+            plans[seq] = changes._jdf.queryExecution().optimizedPlan().toString()
+        return write(log, changes, seq, metrics)
+
+    monkeypatch.setattr(sinks.ChangeLog, "write", watched)
+    runs.run(1, contents(spark, *"12"), "2024-01-01")
+    # the rank of a run that settles has no join below it that would sort the log a second time
+    below = plans[12].partition("row_number() windowspec")[2]
+    assert "strategy=broadcast" in below if few else "LeftSemi" not in below
+    assert {r.file_id: r.processing_status for r in runs.registry.current().collect()} == {"1": "ARCHIVED", "2": "ARCHIVED", "4": "FAILED", "5": "FAILED"}
+    assert runs.stored.read().count() == 2 and runs.alerts.read().count() == 3
+
+
+@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("folded", [True, False])
+def test_passing_is_current_with_a_filter(spark, tmp_path, monkeypatch, few, folded):
+    monkeypatch.setattr(sinks.sizing, "is_small", lambda df: few)
+    log = sinks.ChangeLog(spark, str(tmp_path / "log"), rows_of(spark).schema, ("key", "part"))
+    log.write(rows_of(spark, ("a", "x", 1), ("a", None, 1), (None, "x", 1), ("b", "x", 5), ("c", "x", 1), ("d", "x", None)), 1)
+    log.write(rows_of(spark, ("a", "x", 7), ("b", "x", 1), (None, None, 1), ("c", "y", 9), ("d", "x", 1)), 2)
+    if folded:
+        log.compact(2)
+    log.write(rows_of(spark, ("a", None, None), ("c", "y", 1), ("e", "x", 1)), 3)
+    for test, n in ((F.col("value") == 1, 7), (F.col("value") > 1, 1), (F.col("value").isNull(), 1), (F.col("key") == "c", 2), (F.col("value") > 9, 0)):
+        assert as_set(log.passing(test)) == as_set(log.current().where(test)) and log.passing(test).count() == n
+    one = F.col("value") == 1
+    assert as_set(log.passing(one, before=3)) == as_set(log.current(before=3).where(one))
+
+
 def test_a_copy_that_is_not_whole_does_not_count(spark, tmp_path):
     runs = archive_of(spark, tmp_path, size=9)
     runs.run(1, contents(spark, *"1245"), "2024-01-01")
